@@ -165,6 +165,7 @@ def _(spark, sf):
         ts_col="ts",
         load_type="full",
         since="2024-01-10",
+        sticky=True,
         **NAMES,
         **STAMPS,
     ).target

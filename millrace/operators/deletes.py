@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +48,19 @@ def apply_hard_delete(target: DataFrame, deleted: DataFrame, on: On) -> DataFram
     return anti_not_exists(target, deleted, on).select(*target.columns)
 
 
+def surviving_rows(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target after deleting what ``capture_missing_rows`` finds, in one pass.
+
+    Rows the snapshot still has, and rows with a NULL key: those are captured as
+    missing, but no delete can address them.
+    """
+    alive = distinct_keys(stage, keys).withColumnsRenamed({k: f"_d_{k}" for k in keys})
+    match = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_d_{k}") for k in keys])
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    marked = target.join(alive.withColumn("_alive", F.lit(True)), match, "left")
+    return marked.where(F.col("_alive") | no_key).select(*target.columns)
+
+
 def capture_deleted_keys(
     log: DataFrame,
     journal: DataFrame,
@@ -85,20 +99,11 @@ def capture_deleted_keys(
     )
 
 
-def logged_keys(
-    log: DataFrame,
-    model_id: str,
-    *,
-    ignore_case: bool = False,
-    batch_id=None,
-    sticky: bool = True,
-) -> DataFrame:
+def logged_keys(log: DataFrame, model_id: str, *, ignore_case: bool = False) -> DataFrame:
     """Distinct deleted keys of one model.
 
     ``ignore_case`` is the form for models named after a view: case does not
-    matter and a trailing ``_v`` stands for the table's ``_t``. With
-    ``sticky=False`` only keys of ``batch_id`` count, so a key inserted again
-    after an earlier delete survives.
+    matter and a trailing ``_v`` stands for the table's ``_t``.
     """
     name: Column = F.col("model_id")
     if ignore_case:
@@ -106,8 +111,6 @@ def logged_keys(
         rows = log.where(F.upper(name) == table.upper())
     else:
         rows = log.where(name == model_id)
-    if not sticky:
-        rows = rows.where(F.col("batch_id") == as_batch(batch_id))
     return rows.select("pk").dropna().distinct()
 
 
@@ -118,14 +121,14 @@ def apply_log_delete(
     key_col: str = "pk",
     *,
     ignore_case: bool = False,
-    batch_id=None,
-    sticky: bool = True,
 ) -> DataFrame:
-    """Target rows whose key the log does not list for the model."""
-    keys = logged_keys(log, model_id, ignore_case=ignore_case, batch_id=batch_id, sticky=sticky)
-    return target.join(
-        keys.withColumnRenamed("pk", "_pk"), F.col(key_col) == F.col("_pk"), "left_anti"
-    )
+    """Target rows whose key the log does not list for the model.
+
+    All rows of ``log`` count. Pass only those of a batch to spare keys that were
+    inserted again after an earlier delete.
+    """
+    keys = logged_keys(log, model_id, ignore_case=ignore_case)
+    return apply_hard_delete(target, keys, {key_col: "pk"})
 
 
 def soft_delete(dim: DataFrame, deleted: DataFrame, on: On) -> DataFrame:
@@ -158,9 +161,8 @@ def soft_delete(dim: DataFrame, deleted: DataFrame, on: On) -> DataFrame:
 
 
 def soft_delete_by_log(
-    dim: DataFrame, log: DataFrame, model_id: str, key_col: str, **log_options
+    dim: DataFrame, log: DataFrame, model_id: str, key_col: str = "pk", *, ignore_case: bool = True
 ) -> DataFrame:
     """``soft_delete`` with the deletion log of one model as the delete set."""
-    keys = logged_keys(log, model_id, **{"ignore_case": True, **log_options})
-    pairs: Mapping[str, str] = {key_col: "pk"}
-    return soft_delete(dim, keys, pairs)
+    keys = logged_keys(log, model_id, ignore_case=ignore_case)
+    return soft_delete(dim, keys, {key_col: "pk"})

@@ -26,15 +26,16 @@ from millrace.operators.joins import distinct_keys, unseen_rows
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns by name in the order and types of ``schema``; absent ones are NULL."""
-    have = {c.lower(): c for c in df.columns}
-    return df.select(
-        [
-            (F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    have = {f.name.lower(): f for f in df.schema.fields}
+
+    def column(field: T.StructField) -> Column | str:
+        found = have.get(field.name.lower())
+        if found is not None and (found.name, found.dataType) == (field.name, field.dataType):
+            return f"`{field.name}`"
+        value = F.lit(None) if found is None else F.col(f"`{found.name}`")
+        return value.cast(field.dataType).alias(field.name)
+
+    return df.select([column(f) for f in schema.fields])
 
 
 def _insert(target: DataFrame, rows: DataFrame, insert_cols: Sequence[str] | None = None) -> DataFrame:
@@ -92,7 +93,7 @@ def _merge(
                 .otherwise(F.col(f"t.`{f.name}`"))
                 .alias(f.name)
                 if f.name in set_exprs
-                else F.col(f"t.`{f.name}`").alias(f.name)
+                else f"t.`{f.name}`"
                 for f in target.schema.fields
             ]
         )

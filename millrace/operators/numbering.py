@@ -49,18 +49,32 @@ def _number_in_order(df: DataFrame, order_cols: Sequence[str], out: str) -> Data
     )
 
 
+def _addressed(
+    df: DataFrame, order_cols: Sequence[str], unique_order: bool
+) -> tuple[DataFrame, list[str], list[str]]:
+    """Rows, the columns that address one row, and a unique order for them.
+
+    Unless the order is known to be unique, rows are staged with a physical id
+    that serves as address and as the last order column: even identical copies
+    can then be cut into ranges.
+    """
+    if unique_order:
+        return df, list(order_cols), list(order_cols)
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    return rows, ["_row"], [*order_cols, "_row"]
+
+
 def row_number_global(
     df: DataFrame, order_cols: Sequence[str], out: str = "rn", unique_order: bool = False
 ) -> DataFrame:
     """``row_number()`` over the whole frame.
 
-    Unless the order is known to be unique, rows get a staged physical id as the
-    last order column: even identical copies can then be cut into ranges.
+    Only the order columns are ranged and staged; the numbers then join back to
+    the rows by their address, which is unique and so spreads evenly.
     """
-    if unique_order:
-        return _number_in_order(df, order_cols, out)
-    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    return _number_in_order(rows, [*order_cols, "_row"], out).drop("_row")
+    rows, address, order = _addressed(df, order_cols, unique_order)
+    numbers = _number_in_order(rows.select(*order), order, out).select(*address, out)
+    return join_null_safe(rows, numbers, address).select(*df.columns, out)
 
 
 def dense_rank_global(df: DataFrame, key_cols: Sequence[str], out: str = "rank") -> DataFrame:
@@ -97,13 +111,13 @@ def row_number_per_key(
     Rows are numbered along (keys, order) over the whole frame; a key's numbers
     are consecutive there, so subtracting its first one restarts them at 1.
     """
-    numbered = row_number_global(df, [*keys, *order_cols], "_g", unique_order)
+    rows, address, order = _addressed(df, [*keys, *order_cols], unique_order)
+    numbered = _number_in_order(rows.select(*order), order, "_g")
     first = numbered.groupBy(*keys).agg(F.min("_g").alias("_first"))
-    return (
-        join_null_safe(numbered, first, keys)
-        .withColumn(out, F.col("_g") - F.col("_first") + 1)
-        .drop("_g", "_first")
+    numbers = join_null_safe(numbered, first, keys).select(
+        *address, (F.col("_g") - F.col("_first") + 1).alias(out)
     )
+    return join_null_safe(rows, numbers, address).select(*df.columns, out)
 
 
 def next_start(df: DataFrame, sk: str, start: str, tie: str) -> DataFrame:
@@ -114,18 +128,20 @@ def next_start(df: DataFrame, sk: str, start: str, tie: str) -> DataFrame:
     key's next minute that has any. Both groups are bounded whatever the data:
     60 million microseconds per minute, half a million minutes per year.
     """
-    minute = [F.to_date(start).alias("_day"), (F.hour(start) * 60 + F.minute(start)).alias("_min")]
-    starts = df.groupBy(sk, start).agg(F.max(tie).alias("_last_tie")).select("*", *minute)
     in_minute = Window.partitionBy(sk, "_day", "_min").orderBy(start)
-    heads = starts.groupBy(sk, "_day", "_min").agg(F.min(start).alias("_head"))
     by_minute = Window.partitionBy(sk).orderBy("_day", "_min")
-    following = heads.select(
-        sk, "_day", "_min", F.lead("_head").over(by_minute).alias("_next_head")
+    starts = (
+        df.groupBy(sk, start)
+        .agg(F.max(tie).alias("_last_tie"))
+        .withColumn("_day", F.to_date(start))
+        .withColumn("_min", F.hour(start) * 60 + F.minute(start))
+        .withColumn("_next_here", F.lead(start).over(in_minute))
+        .withColumn("_prev_here", F.lag(start).over(in_minute))
     )
-    return (
-        starts.withColumn("_next_here", F.lead(start).over(in_minute))
-        .join(following, [sk, "_day", "_min"])
-        .select(sk, start, "_last_tie", F.coalesce("_next_here", "_next_head").alias("_next_start"))
+    heads = starts.where(F.col("_prev_here").isNull())
+    following = heads.select(sk, "_day", "_min", F.lead(start).over(by_minute).alias("_next_head"))
+    return starts.join(following, [sk, "_day", "_min"]).select(
+        sk, start, "_last_tie", F.coalesce("_next_here", "_next_head").alias("_next_start")
     )
 
 

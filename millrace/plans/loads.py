@@ -7,7 +7,7 @@ per table and every table is written once.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +24,13 @@ from millrace.functions.columns import (
 )
 from millrace.operators.deletes import (
     apply_hard_delete,
-    apply_log_delete,
     capture_deleted_keys,
     capture_missing_rows,
+    logged_keys,
     soft_delete,
+    surviving_rows,
 )
-from millrace.operators.filters import incremental_filter
+from millrace.operators.filters import delete_events, incremental_filter
 from millrace.operators.journal import journal_reload, newest_journal_segments
 from millrace.operators.joins import anti_not_exists, semi_exists
 from millrace.operators.latest import latest_by_max, latest_by_rank
@@ -66,15 +67,36 @@ from millrace.sources.files import (
 )
 
 
-@dataclass(frozen=True)
 class SilverLoad:
-    """Next state of a silver table and of the tables the load also maintains."""
+    """Next state of a silver table (``target``) and of what the load also maintains.
 
-    target: DataFrame
-    deleted: DataFrame | None = None
-    log: DataFrame | None = None
-    check: DataFrame | None = None
-    drift: DataFrame | None = None
+    The other tables (``deleted``, ``log``, ``check``, ``drift``) are frames too,
+    built when first asked for; None where a load does not maintain them.
+    """
+
+    def __init__(self, target: DataFrame, **others: Callable[[], DataFrame]):
+        self.target = target
+        self._others = others
+
+    def _other(self, name: str) -> DataFrame | None:
+        build = self._others.get(name)
+        return None if build is None else build()
+
+    @cached_property
+    def deleted(self) -> DataFrame | None:
+        return self._other("deleted")
+
+    @cached_property
+    def log(self) -> DataFrame | None:
+        return self._other("log")
+
+    @cached_property
+    def check(self) -> DataFrame | None:
+        return self._other("check")
+
+    @cached_property
+    def drift(self) -> DataFrame | None:
+        return self._other("drift")
 
 
 def file_to_stage(
@@ -174,8 +196,10 @@ def bronze_to_silver(
     )
     if stage_snapshot is None:
         return SilverLoad(merged)
-    deleted = capture_missing_rows(merged, stage_snapshot, keys, load_ts)
-    return SilverLoad(apply_hard_delete(merged, deleted, list(keys)), deleted=deleted)
+    return SilverLoad(
+        surviving_rows(merged, stage_snapshot, keys),
+        deleted=lambda: capture_missing_rows(merged, stage_snapshot, keys, load_ts),
+    )
 
 
 def staged_cdc_to_silver(
@@ -195,18 +219,18 @@ def staged_cdc_to_silver(
     load_ts,
     key_col: str = "pk",
     drift_audit: DataFrame | None = None,
-    sticky: bool = True,
+    journal_key: str = "primary_key__pk",
+    sticky: bool = False,
 ) -> SilverLoad:
     """Upsert staged change rows, then log and apply the journal's deletes.
 
+    Removed are the keys with a delete event in ``journal``. ``sticky`` also
+    removes every key the log lists for the model from earlier batches, even if
+    it was inserted again since.
+
     Schema drift is recorded, not fatal: source columns the target lacks are
     ignored, a target column the source lacks is an error.
     """
-    drift = None
-    if drift_audit is not None:
-        drift = _drift_rows(
-            target, source, drift_audit, model_id, model_grp, pipeline_name, batch_id, load_ts
-        )
     wanted = [c for c in target.columns if c not in BOOKKEEPING_WITH_SOURCE_TS]
     missing = [c for c in wanted if c not in source.columns]
     if missing:
@@ -219,24 +243,33 @@ def staged_cdc_to_silver(
         rows, batch_id=batch_id, load_ts=load_ts, src_load_ts=F.col("_seen")
     ).drop("_seen")
     merged = merge_upsert(target, stamped, keys)
-    new_log = capture_deleted_keys(
-        log,
-        journal,
-        model_id=model_id,
-        model_grp=model_grp,
-        pipeline_name=pipeline_name,
-        batch_id=batch_id,
-        load_ts=load_ts,
-    )
-    remaining = apply_log_delete(
-        merged, new_log, model_id, key_col, batch_id=batch_id, sticky=sticky
-    )
-    return SilverLoad(remaining, log=new_log, drift=drift)
+    gone = delete_events(journal).select(F.col(journal_key).alias("pk"))
+    if sticky:
+        gone = gone.unionByName(logged_keys(log, model_id))
+    remaining = apply_hard_delete(merged, gone, {key_col: "pk"})
+    others = {
+        "log": lambda: capture_deleted_keys(
+            log,
+            journal,
+            model_id=model_id,
+            model_grp=model_grp,
+            pipeline_name=pipeline_name,
+            batch_id=batch_id,
+            load_ts=load_ts,
+            key_col=journal_key,
+        )
+    }
+    if drift_audit is not None:
+        others["drift"] = lambda: _drift_rows(
+            target, source, drift_audit, model_id, model_grp, pipeline_name, batch_id, load_ts
+        )
+    return SilverLoad(remaining, **others)
 
 
 def _drift_rows(
     target, source, drift_audit, model_id, model_grp, pipeline_name, batch_id, load_ts
 ) -> DataFrame:
+    """The drift audit after this model's check."""
     spark = target.sparkSession
     found = schema_drift(
         column_inventory(spark, {model_id: source}), column_inventory(spark, {model_id: target})
@@ -288,22 +321,25 @@ def prevalidated_to_silver(
     ignore = [*BOOKKEEPING, "json_value"]
     aligned = align_to_target(rows, target.columns, ignore)
     if prevalidate:
-        names = {"model_id": model_id, "model_grp": model_grp}
-        how = {"payload": payload, "grain": grain, "ts_col": ts_col}
-        stamps = {"batch_id": batch_id, "load_ts": load_ts}
-        issues = find_duplicate_keys(rows, keys, **how, **names, **stamps).unionByName(
-            find_null_keys(rows, keys, **how, **names, **stamps)
-        )
-        check = record_issues(check, issues)
         good = exclude_bad_keys(aligned, keys, ts_col, blank_is_null=blank_is_null)
     else:
         good = latest_by_max(aligned, keys, ts_col).distinct()
     stamped = stamp_audit(good, batch_id=batch_id, load_ts=load_ts)
     merged = merge_upsert(target, stamped, keys, source_unique=prevalidate)
-    check = resolve_issues(
-        check, merged, keys, batch_id, model_id=model_id, model_grp=model_grp
-    )
-    return SilverLoad(merged, check=check)
+
+    def next_check() -> DataFrame:
+        names = {"model_id": model_id, "model_grp": model_grp}
+        recorded = check
+        if prevalidate:
+            how = {"payload": payload, "grain": grain, "ts_col": ts_col, **names}
+            stamps = {"batch_id": batch_id, "load_ts": load_ts}
+            issues = find_duplicate_keys(rows, keys, **how, **stamps).unionByName(
+                find_null_keys(rows, keys, **how, **stamps)
+            )
+            recorded = record_issues(check, issues)
+        return resolve_issues(recorded, merged, keys, batch_id, **names)
+
+    return SilverLoad(merged, check=next_check)
 
 
 def delete_insert_to_silver(
@@ -337,16 +373,16 @@ def scd2_load(
 
     What moves is bounded by the live part of the table. Rows that are neither
     active nor reporting are history: no step changes them, so they bypass all
-    joins. The batch, which every step reads several times, is staged before and
-    after numbering; the dimension itself is never staged.
+    joins. The numbered batch, which the later steps read several times, is
+    staged; the dimension never is. Numbering reads ``src`` several times too:
+    pass a table, or stage it, if it is costly to compute.
 
     ``batch_keys_only`` also lets live rows of keys outside the batch bypass the
     closing steps. That gives the same table if the dimension was left closed by
     the load before.
     """
-    batch = stage(
-        src.withColumns({"hash_sk": hash_key(key_cols), "hash_seq_no": hash_key(version_cols)}),
-        "scd2-batch",
+    batch = src.withColumns(
+        {"hash_sk": hash_key(key_cols), "hash_seq_no": hash_key(version_cols)}
     )
     batch = assign_surrogate_key(batch, dim, sk, key_cols)
     batch = assign_sequence_number(batch, dim, seq, unique_order=unique_versions)
