@@ -30,7 +30,7 @@ def save_state(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def save_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
