@@ -18,6 +18,7 @@ from millrace.functions.columns import (
 from millrace.operators.aggregates import group_by_all_having
 from millrace.operators.joins import anti_not_exists, distinct_keys
 from millrace.operators.merge import conform, merge_update_subset
+from millrace.operators.numbering import join_null_safe
 
 # Names of the two key checks.
 DUPLICATE_CHECK = "Duplication Check for Key Columns"
@@ -87,9 +88,13 @@ def find_duplicate_keys(
 
     ``grain="row"`` groups by payload and source time as well, which misses keys
     whose copies differ.
+
+    Duplicated keys are found on the key columns alone; only their rows are then
+    read with payload and grouped.
     """
+    repeated = group_by_all_having(src.select(*keys), keys).select(*keys)
     return _issues(
-        src, keys, DUPLICATE_CHECK, 2, payload=payload, grain=grain, ts_col=ts_col,
+        join_null_safe(src, repeated, keys, "left_semi"), keys, DUPLICATE_CHECK, 2, payload=payload, grain=grain, ts_col=ts_col,
         model_id=model_id, model_grp=model_grp, batch_id=batch_id, load_ts=load_ts,
     )
 

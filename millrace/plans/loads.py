@@ -165,6 +165,17 @@ def _latest(
     return latest_by_rank(source.dropna(subset=[*keys, ts_col]), keys, [ts_col, *tie_break])
 
 
+def _increment(rows: DataFrame, staged: bool, batch_id, load_ts, src_load_ts=None) -> DataFrame:
+    """The rows to merge, with stamps.
+
+    A merge reads them three times. Staging them first means that the source is
+    scanned and reduced once, and that the choice to broadcast them rests on
+    the size of files that exist, not on an estimate.
+    """
+    rows = stamp_audit(rows, batch_id=batch_id, load_ts=load_ts, src_load_ts=src_load_ts)
+    return stage(rows, "increment") if staged else rows
+
+
 def bronze_to_silver(
     target: DataFrame,
     source: DataFrame,
@@ -177,6 +188,7 @@ def bronze_to_silver(
     stage_snapshot: DataFrame | None = None,
     tie_break: Sequence[str] | None = None,
     preserve_load_ts: bool = False,
+    stage_increment: bool = True,
 ) -> SilverLoad:
     """Upsert the newest version of every key changed since the watermark.
 
@@ -186,7 +198,7 @@ def bronze_to_silver(
     """
     aligned = align_to_target(source, target.columns, BOOKKEEPING)
     newest = _latest(incremental_filter(aligned, ts_col, since), keys, ts_col, tie_break)
-    stamped = stamp_audit(newest, batch_id=batch_id, load_ts=load_ts)
+    stamped = _increment(newest, stage_increment, batch_id, load_ts)
     merged = merge_upsert(
         target,
         stamped,
@@ -221,6 +233,7 @@ def staged_cdc_to_silver(
     drift_audit: DataFrame | None = None,
     journal_key: str = "primary_key__pk",
     sticky: bool = False,
+    stage_increment: bool = True,
 ) -> SilverLoad:
     """Upsert staged change rows, then log and apply the journal's deletes.
 
@@ -239,10 +252,8 @@ def staged_cdc_to_silver(
     if load_type == "full":
         rows = latest_by_max(rows, keys, ts_col)
     rows = rows.select(*wanted, F.col(ts_col).alias("_seen"))
-    stamped = stamp_audit(
-        rows, batch_id=batch_id, load_ts=load_ts, src_load_ts=F.col("_seen")
-    ).drop("_seen")
-    merged = merge_upsert(target, stamped, keys)
+    stamped = _increment(rows, stage_increment, batch_id, load_ts, F.col("_seen"))
+    merged = merge_upsert(target, stamped.drop("_seen"), keys)
     gone = delete_events(journal).select(F.col(journal_key).alias("pk"))
     if sticky:
         gone = gone.unionByName(logged_keys(log, model_id))
@@ -311,6 +322,7 @@ def prevalidated_to_silver(
     load_ts,
     grain: str = "key",
     blank_is_null: bool = False,
+    stage_increment: bool = True,
 ) -> SilverLoad:
     """Upsert rows with sound keys and record the others as issues.
 
@@ -324,7 +336,7 @@ def prevalidated_to_silver(
         good = exclude_bad_keys(aligned, keys, ts_col, blank_is_null=blank_is_null)
     else:
         good = latest_by_max(aligned, keys, ts_col).distinct()
-    stamped = stamp_audit(good, batch_id=batch_id, load_ts=load_ts)
+    stamped = _increment(good, stage_increment, batch_id, load_ts)
     merged = merge_upsert(target, stamped, keys, source_unique=prevalidate)
 
     def next_check() -> DataFrame:

@@ -6,7 +6,7 @@ from millrace.sources.files import (
     load_files_with_mapping,
     table_ref_filter,
 )
-from millrace.sources.sinks import save_partitions, save_state
+from millrace.sources.sinks import save_partitions, save_state, touched_partitions
 
 __all__ = [
     "const_table",
@@ -17,4 +17,5 @@ __all__ = [
     "save_partitions",
     "save_state",
     "table_ref_filter",
+    "touched_partitions",
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def save_state(
@@ -33,11 +34,29 @@ def save_state(
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def touched_partitions(
+    target: DataFrame, source: DataFrame, column: str, limit: int = 10_000
+) -> DataFrame:
+    """The target's rows in the partitions the source has rows for.
+
+    For a merge into a table partitioned by ``column``, given that a key stays in
+    its partition: the merge then reads and rewrites those partitions only. The
+    distinct partition values come to the driver, which lets the scan skip the
+    other folders at planning; above ``limit`` values it is a semi join instead.
+    """
+    touched = source.select(column).distinct()
+    values = [row[0] for row in touched.limit(limit + 1).collect()]
+    if len(values) > limit:
+        return target.join(touched, [column], "left_semi").select(*target.columns)
+    wanted = F.col(column).isin([v for v in values if v is not None])
+    return target.where(wanted | F.col(column).isNull() if None in values else wanted)
+
+
 def save_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions present in ``df`` (dynamic overwrite).
 
-    For tables partitioned by date when a load touches few dates. ``df`` must not
-    read from ``path``.
+    ``df`` may read from ``path``: old files go when the job commits. The commit
+    moves partition by partition, so readers may meanwhile see some new ones.
     """
     (
         df.hint("rebalance", *partition_by)

@@ -23,7 +23,7 @@ from millrace.sources.files import (
     load_files_replace,
     load_files_with_mapping,
 )
-from millrace.sources.sinks import save_partitions, save_state
+from millrace.sources.sinks import save_partitions, save_state, touched_partitions
 from millrace.streaming.ingest import apply_new_files, ingest_new_files
 
 T1, T2, T3, T4 = (dt.datetime(2024, 1, d) for d in (1, 2, 3, 4))
@@ -137,6 +137,22 @@ def test_sinks(spark, tmp_path, frame, rows):
     assert rows(spark.read.parquet(path), "day", "k") == [(1, 1), (1, 2), (2, 30)]
 
 
+@pytest.mark.parametrize("limit", [10, 1])
+def test_merge_rewrites_touched_partitions_only(spark, tmp_path, frame, rows, limit):
+    path = str(tmp_path / "t")
+    spark.range(40).selectExpr("id AS k", "0 AS v", "cast(id % 4 AS int) AS day").write.partitionBy("day").parquet(path)
+    files = {day: sorted(os.listdir(f"{path}/day={day}")) for day in range(4)}
+    table = spark.read.parquet(path)
+    source = frame("k long, v int, day int", (1, 7, 1), (2, 8, 2), (100, 9, 1))
+    part = touched_partitions(table, source, "day", limit)
+    assert part.count() == 20
+    save_partitions(merge_upsert(part, source, ["k"]), path, ["day"])
+    after = {day: sorted(os.listdir(f"{path}/day={day}")) for day in range(4)}
+    assert [day for day in range(4) if files[day] == after[day]] == [0, 3]
+    assert spark.read.parquet(path).count() == 41
+    assert rows(spark.read.parquet(path).where("v > 0"), "k", "v") == [(1, 7), (100, 9), (2, 8)]
+
+
 def test_stage_uses_the_shared_folder(spark, frame):
     staged = stage(frame("a int", (1,)))
     assert shared_dir(spark).removeprefix("file:") in staged.inputFiles()[0]
