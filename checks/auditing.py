@@ -109,7 +109,7 @@ def model_audit(spark, sf):
         F.concat(F.lit("m"), F.col("c")).alias("model_id"),
         F.lit("g").alias("model_grp"),
         F.col("newest").alias("inc_load_ts"),
-        F.lit("dom").alias("pipeline_name"),
+        F.lit("shop").alias("pipeline_name"),
         "batch_id",
         F.col("status").alias("model_load_status"),
         F.col("n").alias("rows_inserted"),
@@ -120,7 +120,7 @@ def model_audit(spark, sf):
 
 
 CTES["audit"] = """
-SELECT 'm' || c AS model_id, 'g' AS model_grp, newest AS inc_load_ts, 'dom' AS pipeline_name, batch_id,
+SELECT 'm' || c AS model_id, 'g' AS model_grp, newest AS inc_load_ts, 'shop' AS pipeline_name, batch_id,
        status AS model_load_status, n AS rows_inserted, n_p AS rows_updated, start_ts, end_ts FROM runs"""
 
 
@@ -129,12 +129,12 @@ def models(spark, sf):
     return c.select(
         F.concat(F.lit("m"), F.col("c_custkey")).alias("model_id"),
         F.lit("g").alias("model_grp"),
-        F.lit("dom").alias("pipeline_name"),
+        F.lit("shop").alias("pipeline_name"),
     )
 
 
 CTES["models"] = (
-    "SELECT 'm' || c_custkey AS model_id, 'g' AS model_grp, 'dom' AS pipeline_name FROM customer"
+    "SELECT 'm' || c_custkey AS model_id, 'g' AS model_grp, 'shop' AS pipeline_name FROM customer"
 )
 
 
@@ -145,7 +145,7 @@ CTES["models"] = (
            CASE WHEN batch_id = 2000 AND end_ts IS NULL THEN NULL ELSE start_ts END AS start_ts) FROM audit
        UNION ALL
        SELECT m.model_id, 'g', (SELECT arg_max(inc_load_ts, batch_id) FROM audit a WHERE a.model_id = m.model_id),
-              'dom', 2000, 'yet to start', NULL, NULL, NULL, NULL FROM models m
+              'shop', 2000, 'yet to start', NULL, NULL, NULL, NULL FROM models m
        WHERE NOT EXISTS (SELECT 1 FROM audit a WHERE a.model_id = m.model_id AND a.batch_id = 2000)""",
     "o runs audit models",
     ids=("batch_id",),
@@ -199,7 +199,7 @@ def _(spark, sf):
     metrics = metrics.withColumns(
         {
             "model_grp": F.lit("g"),
-            "pipeline_name": F.lit("dom"),
+            "pipeline_name": F.lit("shop"),
             "batch_id": F.lit(YEAR).cast("decimal(38,0)"),
             "rows_updated": F.lit(0).cast("long"),
         }

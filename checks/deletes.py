@@ -86,10 +86,10 @@ SELECT 'silver.customer_t' AS model_id, 'old_group' AS model_grp, 'old_pipeline'
 FROM journal WHERE event_type = 'IncrementalDeleteRows' AND seen_at < TIMESTAMP '2024-01-03'
 GROUP BY primary_key__pk"""
 
-NAMES = {"model_id": "silver.customer_t", "model_grp": "crm", "pipeline_name": "dom"}
+NAMES = {"model_id": "silver.customer_t", "model_grp": "crm", "pipeline_name": "shop"}
 
 CTES["new_log"] = f"""
-SELECT 'silver.customer_t' AS model_id, 'crm' AS model_grp, 'dom' AS pipeline_name, d.pk,
+SELECT 'silver.customer_t' AS model_id, 'crm' AS model_grp, 'shop' AS pipeline_name, d.pk,
        coalesce(l.src_load_ts, d.seen) AS src_load_ts, coalesce(l.batch_id, {SQL_BATCH}) AS batch_id,
        coalesce(l.etl_load_ts, {SQL_LOAD_TS}) AS etl_load_ts, {SQL_LOAD_TS} AS etl_updt_ts
 FROM (SELECT primary_key__pk AS pk, max(seen_at) AS seen FROM journal

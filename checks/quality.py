@@ -180,7 +180,7 @@ def _(spark, sf):
     return drift(spark, sf)
 
 
-RUN = "'sales' AS model_grp, 'dom' AS pipeline_name"
+RUN = "'sales' AS model_grp, 'shop' AS pipeline_name"
 
 
 @query(
@@ -194,7 +194,7 @@ RUN = "'sales' AS model_grp, 'dom' AS pipeline_name"
 def _(spark, sf):
     """The second run of a batch replaces what the first one recorded."""
     named = drift(spark, sf).withColumns(
-        {"model_grp": F.lit("sales"), "pipeline_name": F.lit("dom")}
+        {"model_grp": F.lit("sales"), "pipeline_name": F.lit("shop")}
     )
     before = stamped(named, OLD_BATCH, OLD_TS)
     first_run = stamped(named, BATCH, OLD_TS).withColumn("diff_type", F.lit("STALE"))

@@ -130,16 +130,18 @@ def next_start(df: DataFrame, sk: str, start: str, tie: str) -> DataFrame:
     """
     in_minute = Window.partitionBy(sk, "_day", "_min").orderBy(start)
     by_minute = Window.partitionBy(sk).orderBy("_day", "_min")
+    minute = {"_day": F.to_date(start), "_min": F.hour(start) * 60 + F.minute(start)}
     starts = (
         df.groupBy(sk, start)
         .agg(F.max(tie).alias("_last_tie"))
-        .withColumn("_day", F.to_date(start))
-        .withColumn("_min", F.hour(start) * 60 + F.minute(start))
+        .withColumns(minute)
         .withColumn("_next_here", F.lead(start).over(in_minute))
-        .withColumn("_prev_here", F.lag(start).over(in_minute))
     )
-    heads = starts.where(F.col("_prev_here").isNull())
-    following = heads.select(sk, "_day", "_min", F.lead(start).over(by_minute).alias("_next_head"))
+    # Aggregated from the rows, not from ``starts``: one shuffle less.
+    heads = df.withColumns(minute).groupBy(sk, "_day", "_min").agg(F.min(start).alias("_head"))
+    following = heads.select(
+        sk, "_day", "_min", F.lead("_head").over(by_minute).alias("_next_head")
+    )
     return starts.join(following, [sk, "_day", "_min"]).select(
         sk, start, "_last_tie", F.coalesce("_next_here", "_next_head").alias("_next_start")
     )
