@@ -152,7 +152,7 @@ FROM events WHERE ts < TIMESTAMP '2024-01-15'"""
 SCD2 = f"""
 , src AS (SELECT user_id, event_id, ts, sha256(CAST(user_id AS VARCHAR)) AS hash_sk,
                  sha256(CAST(event_id AS VARCHAR)) AS hash_seq_no
-          FROM events WHERE ts >= TIMESTAMP '2024-01-10'),
+          FROM events),
   keyed AS (SELECT src.*,
                    coalesce((SELECT max(sk) FROM known t WHERE t.hash_sk = src.hash_sk),
                             dense_rank() OVER (ORDER BY user_id) + (SELECT coalesce(max(sk), 0) FROM known)) AS sk,
@@ -186,7 +186,7 @@ def _(spark, sf):
     deleted = events.where(
         (F.col("event_type") == "error") & (F.col("ts") >= ts("2024-01-30"))
     ).select("user_id")
-    source = events.where(F.col("ts") >= ts("2024-01-10")).select("user_id", "event_id", "ts")
+    source = events.select("user_id", "event_id", "ts")
     return scd2_load(
         known_users(spark, sf),
         source,

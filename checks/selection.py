@@ -236,9 +236,8 @@ def _(spark, sf):
     o = all_orders(spark, sf)
     start = ts("1900-01-01")
     newest = global_max_default(o, "src_load_ts", start, "newest")
-    return newest.crossJoin(
-        global_max_default(o.where(F.col("st") == "none"), "src_load_ts", start, "missing")
-    )
+    missing = global_max_default(o.where(F.col("st") == "none"), "src_load_ts", start, "missing")
+    return cross_join_scalar(newest, missing)
 
 
 def merged_orders(spark, sf):

@@ -29,12 +29,10 @@ def filter_above_target_watermark(
 ) -> DataFrame:
     """Source rows newer than the newest row of the target.
 
-    The watermark is a one-row aggregate, hence the broadcast.
+    The watermark is a scalar subquery, whose value the scan can filter by.
     """
-    mark = target.agg(F.coalesce(F.max(tgt_ts), as_ts(EPOCH)).alias("_mark"))
-    return (
-        source.crossJoin(F.broadcast(mark)).where(F.col(src_ts) > F.col("_mark")).drop("_mark")
-    )
+    newest = target.agg(F.coalesce(F.max(tgt_ts), as_ts(EPOCH)))
+    return source.where(F.col(src_ts) > newest.scalar())
 
 
 def active_rows(df: DataFrame, flag: str = "active_flg") -> DataFrame:

@@ -72,8 +72,12 @@ def unseen_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Da
 
 
 def cross_join_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
-    """Attach an ungrouped aggregate (one row by construction) to every row."""
-    return df.crossJoin(F.broadcast(scalar))
+    """Attach an ungrouped aggregate (one row by construction) to every row.
+
+    Its values are scalar subqueries: computed once, before the rows are read,
+    and no join takes part.
+    """
+    return df.withColumns({c: scalar.select(c).scalar() for c in scalar.columns})
 
 
 def correlated_scalar_max(

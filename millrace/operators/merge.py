@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import BOOKKEEPING, align_to_target, as_ts, stamp_audit
-from millrace.operators.filters import EPOCH
+from millrace.operators.filters import EPOCH, filter_above_target_watermark
 from millrace.operators.joins import distinct_keys, unseen_rows
 
 
@@ -250,10 +250,7 @@ def delete_insert_by_key(
     The target's watermark is taken before the delete and used for both steps.
     All newer source rows go in, with new stamps when ``batch_id`` is given.
     """
-    mark = target.agg(F.coalesce(F.max(tgt_ts), as_ts(EPOCH)).alias("_mark"))
-    newer = (
-        source.crossJoin(F.broadcast(mark)).where(F.col(src_ts) > F.col("_mark")).drop("_mark")
-    )
+    newer = filter_above_target_watermark(source, target, src_ts, tgt_ts)
     kept = target.join(distinct_keys(newer, keys), list(keys), "left_anti").select(*target.columns)
     if batch_id is not None:
         newer = stamp_audit(newer, batch_id=batch_id, load_ts=load_ts)
