@@ -14,6 +14,10 @@ from millrace.operators.merge import append_load, conform
 
 _CORRUPT = "_corrupt_record"
 
+# Files of one load must have their columns in the same order: compare each
+# header with the schema and fail, where the default would go by position.
+CHECK_HEADERS = {"enforceSchema": False}
+
 
 def infer_file_schema(
     spark: SparkSession,
@@ -28,12 +32,10 @@ def infer_file_schema(
     CSV and JSON types are inferred in an extra pass over the files; pass
     ``schema`` (or ``samplingRatio``) to avoid it on large inputs.
     """
-    reader = spark.read.options(**options)
-    if schema is not None:
-        reader = reader.schema(schema)
+    reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", header).option("inferSchema", schema is None)
-    return reader.format(fmt).load(path)
+        reader = reader.options(header=header, inferSchema=schema is None, **CHECK_HEADERS)
+    return reader.options(**options).format(fmt).load(path)
 
 
 def _read_text_columns(spark: SparkSession, path: str, fmt: str, header: bool, **options) -> DataFrame:
@@ -50,10 +52,9 @@ def _read_text_columns(spark: SparkSession, path: str, fmt: str, header: bool, *
     names = spark.read.options(**options).option("header", header).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _CORRUPT]])
     return (
-        spark.read.options(**options)
-        .schema(schema)
-        .option("header", header)
-        .option("columnNameOfCorruptRecord", _CORRUPT)
+        spark.read.schema(schema)
+        .options(header=header, columnNameOfCorruptRecord=_CORRUPT, **CHECK_HEADERS)
+        .options(**options)
         # With pruning on, a wrong number of fields goes unnoticed whenever the
         # query above does not need all columns.
         .option("columnPruning", False)

@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.sources.files import CHECK_HEADERS
+
 
 def _new_files(
     spark: SparkSession, in_dir: str, schema: T.StructType, fmt: str, archive_dir: str | None, **options
 ) -> DataFrame:
-    reader = spark.readStream.format(fmt).schema(schema).options(**options)
+    reader = spark.readStream.format(fmt).schema(schema)
+    if fmt == "csv":
+        reader = reader.options(**CHECK_HEADERS)
+    reader = reader.options(**options)
     if archive_dir is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.load(in_dir)

@@ -62,6 +62,15 @@ def test_replace_skips_bad_records(spark, write, rows):
     assert loaded.schema.names == STAGE.names
 
 
+def test_files_with_another_column_order_fail(spark, write, frame):
+    write("d/a.csv", "id,name,amount\n1,a,2.5\n")
+    path = write("d/b.csv", "name,id,amount\n2,2,2.5\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        load_files_replace(spark, path, STAGE).collect()
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        load_files_by_name(spark, path, frame(BRONZE), **STAMPS).collect()
+
+
 def test_replace_json_and_parquet(spark, write, rows, tmp_path):
     path = write("a.json", '{"ID": 1, "name": "a", "amount": 1.5}\n{"ID": "x"}\nnot json\n{"name": "b"}\n')
     expected = [(1, "a", 1.5, None), (None, "b", None, None)]
