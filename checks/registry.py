@@ -13,13 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import configure
+from millrace.session import configure, shared_dir_or
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+# Staged frames of a session without ``spark.checkpoint.dir`` (one machine) go here.
+SCRATCH = "/tmp/checkpoints"
+
 # Clock and batch id of the load under test, and of the load before it.
 LOAD_TS = "2026-01-01 00:00:00"
 OLD_TS = "2025-01-01 00:00:00"
@@ -54,6 +57,7 @@ def query(name: str, sql: str | None = None, ctes: str = "", ids: tuple[str, ...
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
+            shared_dir_or(spark, SCRATCH)
             return as_text_ids(build(spark, sf_dir))
 
         run.__name__ = name

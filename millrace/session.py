@@ -8,7 +8,6 @@ stages that frame as parquet in the folder the cluster names in
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,21 +34,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
+    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session, or
+    the one given to ``SparkContext.setCheckpointDir``. Required in every mode."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder.rstrip("/")
 
-    Only a local session without that setting gets a temporary folder.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    folder = spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="millrace-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+
+def shared_dir_or(spark: SparkSession, folder: str) -> str:
+    """``shared_dir``, with ``folder`` set for it where the session names none."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(folder)
+    return shared_dir(spark)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
