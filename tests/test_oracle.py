@@ -2,18 +2,19 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks import ORACLES, QUERIES
 from compare import difference
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, sf_dir, name):
-    df = queries()[name](spark, sf_dir)
-    assert difference(df, con, oracle_sql()[name]) is None
+    df = QUERIES[name](spark, sf_dir)
+    assert difference(df, con, ORACLES[name]) is None
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_returns_rows(spark):
