@@ -37,6 +37,7 @@ _WORD, _PAIR = 0, 1  # kinds of keys
 _PAIR_BITS = 48
 _STEPS = 8  # EM cells per binary order
 _FLOOR = 64  # a zero estimate's place in the cells, below any ratio
+_SHIFT = 1 << 16
 
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 _SCORE_ARROW = pa.schema([
@@ -46,6 +47,11 @@ _SCORE_ARROW = pa.schema([
 CELLS = "bucket int, r2 int, r1 int, n bigint"
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found, at = np.unique(values, return_inverse=True)
+    return found, at.astype(np.int32)
+
+
 class _Block:
     """Tokens of a block of documents as arrays: each token with its predecessor."""
 
@@ -53,13 +59,16 @@ class _Block:
         words, ends = word_hashes(*utf8(table.column("text")))
         docs = len(ends) - 1
         # One end per document, after its words.
-        self.tokens = np.insert(words, ends[1:], _END) if docs else words
+        tokens = np.insert(words, ends[1:], _END) if docs else words
         self.ends = ends + np.arange(docs + 1)
-        self.before = np.concatenate([[_BEGIN], self.tokens[:-1]]).astype(np.uint64) if docs else self.tokens
-        self.before[self.ends[:-1]] = _BEGIN
-        self.pairs = chain(self.before, self.tokens) >> np.uint64(64 - _PAIR_BITS)
-        self.words, self.word_at = np.unique(self.tokens, return_inverse=True)
-        self.keys, self.pair_at = np.unique(self.pairs, return_inverse=True)
+        before = np.empty_like(tokens)
+        before[1:] = tokens[:-1]
+        before[self.ends[:-1]] = _BEGIN
+        pairs = chain(before, tokens) >> np.uint64(64 - _PAIR_BITS)
+        del words, before
+        self.words, self.word_at = _distinct(tokens)
+        del tokens
+        self.keys, self.pair_at = _distinct(pairs)
         self.train = np.repeat(np.array(table.column("train").to_pylist(), bool), np.diff(self.ends))
 
     def requests(self, block: int, ranges: int) -> list[dict]:
@@ -112,14 +121,15 @@ def _cells(n: int, v: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             r2[ok] = np.rint(_STEPS * np.log2(c2[ok] / c[ok] * (v + 1)))
             ok = c1 > 0
             r1[ok] = np.rint(_STEPS * np.log2(c1[ok] / max(n - size, 1) * (v + 1)))
-            found.append(np.stack([_buckets(np.maximum(c, 0)), r2, r1]))
-        if found:
-            rows, times = np.unique(np.concatenate(found, axis=1), axis=1, return_counts=True)
-        else:
-            rows, times = np.zeros((3, 0), np.int64), np.zeros(0, np.int64)
+            # One number per cell: three fields, the ratios shifted to be positive.
+            found.append((_buckets(np.maximum(c, 0)).astype(np.int64) << 40) | ((r2 + _SHIFT) << 20) | (r1 + _SHIFT))
+        codes, times = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_counts=True)
+        field = (1 << 20) - 1
         return pa.table({
-            "bucket": pa.array(rows[0].astype(np.int32)), "r2": pa.array(rows[1].astype(np.int32)),
-            "r1": pa.array(rows[2].astype(np.int32)), "n": pa.array(times.astype(np.int64)),
+            "bucket": pa.array((codes >> 40).astype(np.int32)),
+            "r2": pa.array(((codes >> 20 & field) - _SHIFT).astype(np.int32)),
+            "r1": pa.array(((codes & field) - _SHIFT).astype(np.int32)),
+            "n": pa.array(times.astype(np.int64)),
         })
 
     return cells
@@ -187,7 +197,8 @@ def interpolated_lm(
     has all the weight.
     """
     spark = docs.sparkSession
-    blocks = ranges = partitions(spark)
+    ranges = partitions(spark)
+    blocks = 2 * ranges  # a block is held in memory as arrays, several numbers a token
     base = texts(docs, id_col, text_col)
     part = fold("doc_id", folds)
     base = base.select("doc_id", "text", (part == 0).alias("held_out"), (part != 0).alias("train"), (part == em_fold).alias("em"))
