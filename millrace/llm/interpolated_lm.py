@@ -198,7 +198,7 @@ def interpolated_lm(
     """
     spark = docs.sparkSession
     ranges = partitions(spark)
-    blocks = 2 * ranges  # a block is held in memory as arrays, several numbers a token
+    blocks = 4 * ranges  # a block is held in memory as arrays, several numbers a token
     base = texts(docs, id_col, text_col)
     part = fold("doc_id", folds)
     base = base.select("doc_id", "text", (part == 0).alias("held_out"), (part != 0).alias("train"), (part == em_fold).alias("em"))
