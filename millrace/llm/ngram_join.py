@@ -79,7 +79,8 @@ def _keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def prefixes(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """One row per document: set size, and for texts that may have a partner their class,
     prefix grams with their places, and (once per class and block) the full set."""
-    blocks = ranges = partitions(docs.sparkSession)
+    ranges = partitions(docs.sparkSession)
+    blocks = 2 * ranges
     dealt = with_block(docs, blocks)
 
     def ask(table: pa.Table) -> pa.Table:
