@@ -34,22 +34,15 @@ def save_state(
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def touched_partitions(
-    target: DataFrame, source: DataFrame, column: str, limit: int = 10_000
-) -> DataFrame:
-    """The target's rows in the partitions the source has rows for.
+def touched_partitions(target: DataFrame, source: DataFrame, column: str) -> DataFrame:
+    """The target's rows in the partitions the source has rows for, NULL being one of them.
 
     For a merge into a table partitioned by ``column``, given that a key stays in
-    its partition: the merge then reads and rewrites those partitions only. The
-    distinct partition values come to the driver, which lets the scan skip the
-    other folders at planning; above ``limit`` values it is a semi join instead.
+    its partition: the merge then reads and rewrites those partitions only. One
+    NULL-safe semi join with the distinct values, whatever their number.
     """
-    touched = source.select(column).distinct()
-    values = [row[0] for row in touched.limit(limit + 1).collect()]
-    if len(values) > limit:
-        return target.join(touched, [column], "left_semi").select(*target.columns)
-    wanted = F.col(column).isin([v for v in values if v is not None])
-    return target.where(wanted | F.col(column).isNull() if None in values else wanted)
+    touched = source.select(F.col(column).alias("_touched")).distinct()
+    return target.join(touched, F.col(column).eqNullSafe(F.col("_touched")), "left_semi")
 
 
 def save_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:

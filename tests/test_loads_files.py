@@ -146,14 +146,13 @@ def test_sinks(spark, tmp_path, frame, rows):
     assert rows(spark.read.parquet(path), "day", "k") == [(1, 1), (1, 2), (2, 30)]
 
 
-@pytest.mark.parametrize("limit", [10, 1])
-def test_merge_rewrites_touched_partitions_only(spark, tmp_path, frame, rows, limit):
+def test_merge_rewrites_touched_partitions_only(spark, tmp_path, frame, rows):
     path = str(tmp_path / "t")
     spark.range(40).selectExpr("id AS k", "0 AS v", "cast(id % 4 AS int) AS day").write.partitionBy("day").parquet(path)
     files = {day: sorted(os.listdir(f"{path}/day={day}")) for day in range(4)}
     table = spark.read.parquet(path)
     source = frame("k long, v int, day int", (1, 7, 1), (2, 8, 2), (100, 9, 1))
-    part = touched_partitions(table, source, "day", limit)
+    part = touched_partitions(table, source, "day")
     assert part.count() == 20
     save_partitions(merge_upsert(part, source, ["k"]), path, ["day"])
     after = {day: sorted(os.listdir(f"{path}/day={day}")) for day in range(4)}
@@ -162,6 +161,21 @@ def test_merge_rewrites_touched_partitions_only(spark, tmp_path, frame, rows, li
     assert rows(spark.read.parquet(path).where("v > 0"), "k", "v") == [(1, 7), (100, 9), (2, 8)]
 
 
+@pytest.mark.parametrize("days", [2, 60])
+def test_merge_keeps_the_rows_of_the_null_partition(spark, tmp_path, frame, rows, days):
+    path = str(tmp_path / "t")
+    day = f"CASE WHEN id % 4 > 0 THEN cast(id % {days} AS int) END AS day"
+    spark.range(400).selectExpr("id AS k", "0 AS v", day).write.partitionBy("day").parquet(path)
+    table = spark.read.parquet(path)
+    source = table.where("k % 40 < 4").selectExpr("k", "1 AS v", "day").union(frame("k long, v int, day int", (1000, 1, None)))
+    source = stage(source)
+    part = touched_partitions(table, source, "day")
+    assert part.where("day IS NULL").count() == 100
+    save_partitions(merge_upsert(part, source, ["k"]), path, ["day"])
+    assert spark.read.parquet(path).count() == 401
+    assert spark.read.parquet(path).where("v = 1").count() == 41
+
+
 def test_stage_uses_the_shared_folder(spark, frame):
     staged = stage(frame("a int", (1,)))
     assert shared_dir(spark).removeprefix("file:") in staged.inputFiles()[0]
