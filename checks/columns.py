@@ -88,11 +88,18 @@ def _(spark, sf):
 @query(
     "pack_attributes",
     """SELECT event_id, ts, CAST(json_merge_patch('{}', json_object('event_type', event_type,
-       'props', props, 'user_id', nullif(user_id, 1))) AS VARCHAR) AS attribute_value_json FROM events""",
+       'props', props, 'user_id', nullif(user_id, 1), 'value', CAST(floor(value * 100) AS BIGINT))) AS VARCHAR)
+       AS attribute_value_json FROM events""",
 )
 def _(spark, sf):
-    e = table(spark, sf, "events").withColumn("user_id", F.nullif(F.col("user_id"), F.lit(1)))
-    return pack_attributes(e.drop("value"), ["event_id", "ts"])
+    """All columns; the value in hundredths, as the engines write doubles differently."""
+    e = table(spark, sf, "events").withColumns(
+        {
+            "user_id": F.nullif(F.col("user_id"), F.lit(1)),
+            "value": F.floor(F.col("value") * 100).cast("long"),
+        }
+    )
+    return pack_attributes(e, ["event_id", "ts"])
 
 
 @query(

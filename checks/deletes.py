@@ -62,6 +62,20 @@ def _(spark, sf):
     return apply_hard_delete(target, gone, ["k"])
 
 
+@query(
+    "apply_hard_delete_residual",
+    """SELECT * FROM silver s WHERE NOT EXISTS (SELECT 1 FROM lineitem l
+       WHERE l.l_orderkey = s.k AND l.l_shipdate < s.src_load_ts)""",
+    "o silver",
+    ids=("batch_id",),
+)
+def _(spark, sf):
+    """Orders with a line shipped before the order was placed are gone: key and condition."""
+    shipped = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
+    earlier = F.col("s.l_shipdate") < F.col("t.src_load_ts")
+    return apply_hard_delete(silver(spark, sf), shipped, {"k": "l_orderkey"}, earlier)
+
+
 def deletion_log(spark, sf):
     """Deletes logged by the previous load: errors of the first ten days."""
     early = journal(spark, sf).where(

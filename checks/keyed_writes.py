@@ -37,9 +37,9 @@ def new_rows(spark, sf):
     return stamp_audit(bronze(spark, sf), **STAMPS)
 
 
-@query("full_replace", f"SELECT k, c, st, src_load_ts, {SQL_STAMPS} FROM bronze", "o bronze", ids=("batch_id",))
+@query("full_replace", f"SELECT k, c, st, src_load_ts, {SQL_STAMPS} FROM o", "o", ids=("batch_id",))
 def _(spark, sf):
-    return full_replace(bronze(spark, sf), silver(spark, sf).schema, **STAMPS)
+    return full_replace(all_orders(spark, sf), silver(spark, sf).schema, **STAMPS)
 
 
 @query(
@@ -54,23 +54,24 @@ def _(spark, sf):
 
 @query(
     "empty_like",
-    f"SELECT *, {SQL_STAMPS} FROM bronze",
-    "o bronze",
+    f"SELECT k, c, st, src_load_ts, {SQL_STAMPS} FROM o",
+    "o",
     ids=("batch_id",),
 )
 def _(spark, sf):
-    """A table created as an empty copy, then filled."""
-    return append_load(empty_like(silver(spark, sf)), new_rows(spark, sf))
+    """A table created as an empty copy, then filled with all orders."""
+    return append_load(empty_like(silver(spark, sf)), stamp_audit(all_orders(spark, sf), **STAMPS))
 
 
 @query(
     "const_table",
-    "SELECT CAST(k AS INTEGER) AS id FROM o UNION ALL SELECT 1 UNION ALL SELECT NULL",
+    """SELECT k, st, id FROM o LEFT JOIN (VALUES ('F', 1), ('O', NULL)) AS n(st, id) USING (st)""",
     "o",
 )
 def _(spark, sf):
-    constants = const_table(spark, [(1,), (None,)], "id int")
-    return all_orders(spark, sf).select(F.col("k").cast("int").alias("id")).unionByName(constants)
+    """A small constant table that names the status of every order."""
+    constants = const_table(spark, [("F", 1), ("O", None)], "st string, id int")
+    return all_orders(spark, sf).join(constants, "st", "left").select("k", "st", "id")
 
 
 @query("table_ref_filter", "SELECT c AS id, k FROM o WHERE c = 1", "o")

@@ -4,13 +4,16 @@ from pyspark.sql import functions as F
 
 from checks.deletes import NAMES, deletion_log
 from checks.keyed_writes import (
+    JOURNAL_COLUMNS,
     JOURNAL_IDS,
     JOURNAL_RELOADED,
     bronze_journal,
+    empty_journal,
     segment_list,
 )
 from checks.quality import (
     IDS,
+    LINE_KEY,
     issue_sql,
     DUPLICATES,
     NULLS,
@@ -83,6 +86,38 @@ def _(spark, sf):
     return loaded.withColumn("src_journal_tbl", F.lower("src_journal_tbl"))
 
 
+def five_days(spark, sf):
+    """The journal in segments of five days, numbered from 0."""
+    number = F.floor((F.dayofmonth("seen_at") - 1) / 5).cast("string")
+    return journal(spark, sf).withColumn("segment", F.concat(F.lit("EVENTS_"), number))
+
+
+CTES["five_days"] = (
+    "SELECT *, 'EVENTS_' || CAST((day(seen_at) - 1) // 5 AS VARCHAR) AS src_journal_tbl FROM journal"
+)
+
+
+@query(
+    "journal_to_bronze_many_segments",
+    f"""SELECT {JOURNAL_COLUMNS}, {SQL_OLD_STAMPS} FROM five_days WHERE seen_at <= TIMESTAMP '2024-01-07'
+        UNION ALL SELECT {JOURNAL_COLUMNS}, {SQL_STAMPS} FROM five_days WHERE seen_at > TIMESTAMP '2024-01-07'""",
+    "journal five_days",
+    ids=JOURNAL_IDS,
+)
+def _(spark, sf):
+    """Most segments lie above the watermark: all come again, and no event is lost."""
+    parts = five_days(spark, sf)
+    segments = parts.groupBy(F.col("segment").alias("table_name")).agg(F.min("seen_at").alias("created"))
+
+    def read(name):
+        return parts.where(F.col("segment") == name).drop("segment")
+
+    before = journal_to_bronze(
+        empty_journal(spark), segments, read, "events", load_type="full", batch_id=OLD_BATCH, load_ts=OLD_TS
+    )
+    return journal_to_bronze(before, segments, read, "events", since="2024-01-07", **STAMPS)
+
+
 # Silver keeps the newest order per customer.
 CTES["latest_before"] = f"""
 SELECT c, max(k) AS k, any_value(src_load_ts) AS src_load_ts, {SQL_OLD_STAMPS} FROM (
@@ -135,19 +170,15 @@ SELECT CAST(user_id AS DECIMAL(38,0)) AS pk, event_id AS first_event, ts FROM ev
 QUALIFY ts = max(ts) OVER (PARTITION BY user_id)"""
 
 
-@query(
-    "staged_cdc_to_silver",
-    f""", staged AS (SELECT pk, first_event, ts AS src_load_ts, {SQL_STAMPS} FROM users_staged
-                     WHERE ts > TIMESTAMP '2024-01-10'),
-          merged AS (SELECT * FROM staged UNION ALL SELECT * FROM users_before b
-                     WHERE NOT EXISTS (SELECT 1 FROM staged s WHERE s.pk = b.pk))
-        SELECT * FROM merged WHERE pk NOT IN
-            (SELECT primary_key__pk FROM journal WHERE event_type = 'IncrementalDeleteRows'
-             AND seen_at < TIMESTAMP '2024-01-08' UNION ALL SELECT pk FROM log)""",
-    "journal log users_before users_staged",
-    ids=("pk", "batch_id"),
-)
-def _(spark, sf):
+CTES["cdc_merged"] = f"""
+SELECT pk, first_event, ts AS src_load_ts, {SQL_STAMPS} FROM users_staged WHERE ts > TIMESTAMP '2024-01-10'
+UNION ALL SELECT * FROM users_before b
+WHERE NOT EXISTS (SELECT 1 FROM users_staged s WHERE s.pk = b.pk AND s.ts > TIMESTAMP '2024-01-10')"""
+LATER_DELETE = """EXISTS (SELECT 1 FROM journal j WHERE j.primary_key__pk = m.pk AND j.event_type = 'IncrementalDeleteRows'
+                    AND j.seen_at > TIMESTAMP '2024-01-10' AND j.seen_at >= m.src_load_ts)"""
+
+
+def cdc_load(spark, sf, deletes, **options):
     events = table(spark, sf, "events")
     pk = F.col("user_id").cast("decimal(38,0)").alias("pk")
     before = events.where(F.col("ts") < ts("2024-01-05")).groupBy(pk).agg(
@@ -155,7 +186,6 @@ def _(spark, sf):
     )
     target = stamped(before.withColumn("src_load_ts", ts("2024-01-05")), OLD_BATCH, OLD_TS)
     source = events.select(pk, F.col("event_id").alias("first_event"), "ts", "props")
-    deletes = journal(spark, sf).where(F.col("seen_at") < ts("2024-01-08"))
     return staged_cdc_to_silver(
         target,
         source,
@@ -165,10 +195,55 @@ def _(spark, sf):
         ts_col="ts",
         load_type="full",
         since="2024-01-10",
-        sticky=True,
+        **options,
         **NAMES,
         **STAMPS,
-    ).target
+    )
+
+
+@query(
+    "staged_cdc_to_silver",
+    f"SELECT * FROM cdc_merged m WHERE NOT {LATER_DELETE}",
+    "journal users_before users_staged cdc_merged",
+    ids=("pk", "batch_id"),
+)
+def _(spark, sf):
+    """Users whose newest image since the watermark is no delete."""
+    return cdc_load(spark, sf, journal(spark, sf)).target
+
+
+@query(
+    "staged_cdc_to_silver_rows_deleted",
+    f"SELECT 'silver.customer_t' AS model_id, count(*) AS rows_deleted FROM cdc_merged m WHERE {LATER_DELETE}",
+    "journal users_before users_staged cdc_merged",
+)
+def _(spark, sf):
+    return cdc_load(spark, sf, journal(spark, sf)).rows_deleted
+
+
+@query(
+    "staged_cdc_to_silver_log",
+    "SELECT * FROM new_log",
+    "journal log new_log",
+    ids=("pk", "batch_id"),
+)
+def _(spark, sf):
+    """The deletion log after the same load."""
+    return cdc_load(spark, sf, journal(spark, sf)).log
+
+
+@query(
+    "staged_cdc_to_silver_sticky",
+    """SELECT * FROM cdc_merged WHERE pk NOT IN
+           (SELECT primary_key__pk FROM journal WHERE event_type = 'IncrementalDeleteRows'
+            AND seen_at < TIMESTAMP '2024-01-08' UNION ALL SELECT pk FROM log)""",
+    "journal log users_before users_staged cdc_merged",
+    ids=("pk", "batch_id"),
+)
+def _(spark, sf):
+    """All keys ever deleted go; the journal ends on 8 January, before most users had an error."""
+    deletes = journal(spark, sf).where(F.col("seen_at") < ts("2024-01-08"))
+    return cdc_load(spark, sf, deletes, sticky=True).target
 
 
 def line_state(spark, sf):
@@ -226,13 +301,13 @@ CTES["recent_issues"] = (
 
 @query(
     "prevalidated_to_silver_check",
-    """, recorded AS (
+    f""", recorded AS (
             SELECT n.* REPLACE (coalesce(o.etl_load_ts, n.etl_load_ts) AS etl_load_ts) FROM recent_issues n
             LEFT JOIN old_issues o USING (model_id, model_grp, key_column, validation_type, src_load_ts)
             UNION ALL SELECT o.* FROM old_issues o
             ANTI JOIN recent_issues n USING (model_id, model_grp, key_column, validation_type, src_load_ts))
        SELECT * REPLACE (CASE WHEN batch_id < (SELECT max(batch_id) FROM recent_issues) AND key_column IN
-           (SELECT CAST(json_merge_patch('{}', json_object('k', k, 'line', line)) AS VARCHAR) FROM lines_after)
+           (SELECT {LINE_KEY} FROM lines_after)
            THEN 'Y' ELSE success_flg END AS success_flg) FROM recorded""",
     "lines line_state recent_lines good_lines lines_after early_lines old_issues recent_issues",
     ids=IDS,

@@ -35,11 +35,14 @@ NEW = {"batch_id": BATCH, "load_ts": LOAD_TS}
 OLD = {"batch_id": OLD_BATCH, "load_ts": OLD_TS}
 
 
+# The key object of a line as text; a NULL member is left out.
+LINE_KEY = """('{' || concat_ws(',', '"k":' || k, '"line":' || line) || '}')"""
+
+
 def issue_sql(rows: str, condition: str, having: str, check: str, batch_id: str, load_ts: str) -> str:
     """Issue rows of the key (k, line); the newest row gives time and payload."""
-    key = "CAST(json_merge_patch('{}', json_object('k', k, 'line', line)) AS VARCHAR)"
     return f"""
-    SELECT 'silver.lines' AS model_id, 'sales' AS model_grp, {key} AS key_column,
+    SELECT 'silver.lines' AS model_id, 'sales' AS model_grp, {LINE_KEY} AS key_column,
            '{check}' AS validation_type, CAST(count(*) AS DECIMAL(38,0)) AS issue_record_count,
            arg_max(payload, CAST(src_load_ts AS VARCHAR) || payload) AS json_value, 'N' AS success_flg,
            {batch_id} AS batch_id, max(src_load_ts) AS src_load_ts,
@@ -133,8 +136,8 @@ def _(spark, sf):
 
 @query(
     "resolve_issues",
-    """SELECT * REPLACE (CASE WHEN key_column IN
-           (SELECT CAST(json_merge_patch('{}', json_object('k', k, 'line', line)) AS VARCHAR) FROM lines
+    f"""SELECT * REPLACE (CASE WHEN key_column IN
+           (SELECT {LINE_KEY} FROM lines
             WHERE payload = 'N') THEN 'Y' ELSE success_flg END AS success_flg) FROM old_issues""",
     "lines early_lines old_issues",
     ids=IDS,

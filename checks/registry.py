@@ -68,7 +68,8 @@ def query(name: str, sql: str | None = None, ctes: str = "", ids: tuple[str, ...
             names = ctes.split()
             if names:
                 # SQL with further CTEs of its own continues the list with a comma.
-                text = "WITH " + ", ".join(f"{n} AS ({CTES[n]})" for n in names) + f" {text}"
+                how = {n: "AS MATERIALIZED" if n in USED_TWICE else "AS" for n in names}
+                text = "WITH " + ", ".join(f"{n} {how[n]} ({CTES[n]})" for n in names) + f" {text}"
             if ids:
                 text_ids = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ids)
                 text = f"SELECT * REPLACE ({text_ids}) FROM ({text})"
@@ -86,6 +87,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 CTES: dict[str, str] = {}
 
+# Aggregates that an oracle reads more than once.
+USED_TWICE = {"old_issues", "new_issues", "recent_issues", "good_lines", "lines_after"}
+
 
 def ts(value: str):
     return F.lit(value).cast("timestamp_ntz")

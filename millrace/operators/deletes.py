@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import as_batch, as_ts
-from millrace.operators.filters import delete_events
+from millrace.operators.filters import delete_events, incremental_filter
 from millrace.operators.joins import (
     On,
     anti_not_exists,
@@ -43,9 +43,28 @@ def capture_missing_rows(
     ).select(*target.columns)
 
 
-def apply_hard_delete(target: DataFrame, deleted: DataFrame, on: On) -> DataFrame:
-    """Target rows without a partner in the delete set (sides ``t`` and ``s``)."""
-    return anti_not_exists(target, deleted, on).select(*target.columns)
+def apply_hard_delete(
+    target: DataFrame, deleted: DataFrame, on: On, residual: Column | None = None
+) -> DataFrame:
+    """Target rows without a partner in the delete set (sides ``t`` and ``s`` of ``residual``)."""
+    return anti_not_exists(target, deleted, on, residual).select(*target.columns)
+
+
+def newest_deletes(
+    journal: DataFrame, since=None, *, key_col: str = "primary_key__pk", ts_col: str = "seen_at"
+) -> DataFrame:
+    """(pk, gone_at): the newest delete event above the watermark of every key."""
+    events = incremental_filter(delete_events(journal), ts_col, since)
+    return events.groupBy(F.col(key_col).alias("pk")).agg(F.max(ts_col).alias("gone_at"))
+
+
+def deleted_since_written(row_ts: str = "src_load_ts") -> Column:
+    """Residual for ``newest_deletes``: the delete isn't older than the row.
+
+    A key that was inserted again after its delete stays. The image of the delete
+    itself, which has the delete's time, goes; so does a row without a time.
+    """
+    return F.coalesce(F.col("s.gone_at") >= F.col(f"t.{row_ts}"), F.lit(True))
 
 
 def surviving_rows(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -131,19 +150,21 @@ def apply_log_delete(
     return apply_hard_delete(target, keys, {key_col: "pk"})
 
 
-def soft_delete(dim: DataFrame, deleted: DataFrame, on: On) -> DataFrame:
+def soft_delete(
+    dim: DataFrame, deleted: DataFrame, on: On, residual: Column | None = None
+) -> DataFrame:
     """Close active rows that have a partner in the delete set.
 
-    Keys given by name take one pass with a left join to the distinct deleted
-    keys. A free condition may match several deleted rows, so it is evaluated as
-    semi and anti join.
+    Keys alone take one pass with a left join to the distinct deleted keys. With
+    a residual a row may match several deleted rows, so it is evaluated as semi
+    and anti join, both on the keys.
     """
     closed = {"active_flg": F.lit("N"), "end_ts": F.col("etl_updt_ts")}
     active = F.col("active_flg") == "Y"
-    if isinstance(on, Column):
+    if residual is not None:
         is_active = F.coalesce(active, F.lit(False))
-        hit = semi_exists(dim.where(is_active), deleted, on).withColumns(closed)
-        missed = anti_not_exists(dim.where(is_active), deleted, on)
+        hit = semi_exists(dim.where(is_active), deleted, on, residual).withColumns(closed)
+        missed = anti_not_exists(dim.where(is_active), deleted, on, residual)
         return (
             dim.where(~is_active)
             .unionByName(missed.select(*dim.columns))

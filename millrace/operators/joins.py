@@ -15,14 +15,19 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import blank_safe_key_equal
 
-On = Sequence[str] | Mapping[str, str] | Column
+On = Sequence[str] | Mapping[str, str]
 
 
-def _key_pairs(on: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
-    return dict(on) if isinstance(on, Mapping) else {k: k for k in on}
+def _key_pairs(on: On) -> dict[str, str]:
+    if isinstance(on, Column):
+        raise TypeError("name the equality keys; a further condition goes into `residual`")
+    pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
+    if not pairs:
+        raise ValueError("a join without an equality key compares every pair of rows")
+    return pairs
 
 
-def distinct_keys(df: DataFrame, on: Sequence[str] | Mapping[str, str]) -> DataFrame:
+def distinct_keys(df: DataFrame, on: On) -> DataFrame:
     """The right-hand keys under the left-hand names, once each and without NULLs."""
     pairs = _key_pairs(on)
     keys = df.select([F.col(right).alias(left) for left, right in pairs.items()])
@@ -33,30 +38,45 @@ def inner_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
     return left.join(right, list(keys), "inner")
 
 
-def _filtering_join(left: DataFrame, right: DataFrame, on: On, how: str) -> DataFrame:
-    if isinstance(on, Column):
-        return left.alias("t").join(right.alias("s"), on, how)
-    return left.join(distinct_keys(right, on), list(_key_pairs(on)), how)
+def _filtering_join(
+    left: DataFrame, right: DataFrame, on: On, how: str, residual: Column | None
+) -> DataFrame:
+    pairs = _key_pairs(on)
+    if residual is None:
+        return left.join(distinct_keys(right, on), list(pairs), how)
+    condition = residual
+    for ours, theirs in pairs.items():
+        condition = (F.col(f"t.{ours}") == F.col(f"s.{theirs}")) & condition
+    return left.alias("t").join(right.alias("s"), condition, how)
 
 
-def semi_exists(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
-    """Left rows with a match. A ``Column`` condition names the sides ``t`` and ``s``."""
-    return _filtering_join(left, right, on, "left_semi")
+def semi_exists(
+    left: DataFrame, right: DataFrame, on: On, residual: Column | None = None
+) -> DataFrame:
+    """Left rows with a match. ``residual`` narrows the match (sides ``t`` and ``s``).
+
+    There is always an equality key, so the join can be dealt by key.
+    """
+    return _filtering_join(left, right, on, "left_semi", residual)
 
 
-def anti_not_exists(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
+def anti_not_exists(
+    left: DataFrame, right: DataFrame, on: On, residual: Column | None = None
+) -> DataFrame:
     """Left rows without a match; rows with a NULL key stay."""
-    return _filtering_join(left, right, on, "left_anti")
+    return _filtering_join(left, right, on, "left_anti", residual)
 
 
-def semi_in(left: DataFrame, right: DataFrame, on: Sequence[str] | Mapping[str, str]) -> DataFrame:
+def semi_in(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
     """``key in (select ...)``: NULL never qualifies."""
     return semi_exists(left, right, on)
 
 
-def anti_left_null(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
+def anti_left_null(
+    left: DataFrame, right: DataFrame, on: On, residual: Column | None = None
+) -> DataFrame:
     """``left join ... where right is null``."""
-    return anti_not_exists(left, right, on)
+    return anti_not_exists(left, right, on, residual)
 
 
 def unseen_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,12 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import JOURNAL_ENVELOPE, pack_attributes, stamp_audit
+from millrace.functions.columns import JOURNAL_ENVELOPE, as_ts, pack_attributes, stamp_audit
 from millrace.operators.filters import incremental_filter, key_present, name_filter
 from millrace.operators.merge import conform, delete_insert_by_watermark
 from millrace.operators.sets import top_k_newest, union_all
 
 
+def _segments_of(segments: DataFrame, table: str, exact_name: bool) -> DataFrame:
+    named = name_filter(segments, "table_name", lacks="SNAPSHOT")
+    if exact_name:
+        name = F.upper(F.trim("table_name"))
+        expected = F.concat(F.lit(table.upper() + "_"), F.split_part(name, F.lit("_"), F.lit(-1)))
+        named = named.where(name == expected)
+    else:
+        named = name_filter(named, "table_name", contains=table)
+    return named
+
+
 def newest_journal_segments(
     segments: DataFrame, table: str, k: int = 2, *, exact_name: bool = True
 ) -> DataFrame:
@@ -21,14 +32,24 @@ def newest_journal_segments(
     Segments are called ``<table>_<last token>``. ``exact_name=False`` accepts any
     name that contains the table's, as a schema lookup does.
     """
-    named = name_filter(segments, "table_name", lacks="SNAPSHOT")
-    if exact_name:
-        name = F.upper(F.trim("table_name"))
-        expected = F.concat(F.lit(table.upper() + "_"), F.split_part(name, F.lit("_"), F.lit(-1)))
-        named = named.where(name == expected)
-    else:
-        named = name_filter(named, "table_name", contains=table)
-    return top_k_newest(named, ["created", "table_name"], k)
+    return top_k_newest(_segments_of(segments, table, exact_name), ["created", "table_name"], k)
+
+
+def segments_above(
+    segments: DataFrame, table: str, since=None, *, exact_name: bool = True
+) -> DataFrame:
+    """All segments of a table that can hold rows above the watermark.
+
+    A segment holds rows from its creation on, so these are the ones created after
+    the watermark and the newest one created before. One without a creation time
+    is always among them.
+    """
+    named = _segments_of(segments, table, exact_name)
+    if since is None:
+        return named
+    created, mark = as_ts(F.col("created")), as_ts(since)
+    before = named.where(created <= mark).agg(F.max(created).alias("created")).scalar()
+    return named.where(created.isNull() | (created >= F.coalesce(before, mark)))
 
 
 def union_journals(
@@ -57,16 +78,22 @@ def journal_reload(
     load_ts,
     key: str = "primary_key__pk",
     ts_col: str = "seen_at",
+    only_listed: bool = False,
 ) -> DataFrame:
-    """Bronze journal after a reload of the newest segments.
+    """Bronze journal after a reload of the given segments.
 
     A full load starts empty; otherwise everything above the watermark is
-    replaced. Attributes are packed to JSON, the envelope stays as columns.
+    replaced, with ``only_listed`` everything of these segments. Attributes are packed to JSON, the envelope stays as columns.
     """
     rows = union_journals(segments, key, ts_col, since)
     packed = pack_attributes(rows, [*JOURNAL_ENVELOPE, "src_journal_tbl"])
     stamped = stamp_audit(packed, batch_id=batch_id, load_ts=load_ts, src_load_ts=F.col("seen_at"))
     if load_type == "full":
         return conform(stamped, target.schema)
-    return delete_insert_by_watermark(target, stamped, ts_col, since)
+    if not only_listed:
+        return delete_insert_by_watermark(target, stamped, ts_col, since)
+    names = [name.upper() for name, _ in segments]
+    listed = F.coalesce(F.upper("src_journal_tbl").isin(names), F.lit(False))
+    reloaded = delete_insert_by_watermark(target.where(listed), stamped, ts_col, since)
+    return target.where(~listed).unionByName(reloaded)
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.columns import (
     BATCH_TYPE,
@@ -24,6 +25,9 @@ from millrace.operators.numbering import join_null_safe
 DUPLICATE_CHECK = "Duplication Check for Key Columns"
 NULL_CHECK = "Null Check for Key Columns"
 
+# Key types whose JSON text gives the same value back. Times lose their microseconds.
+_EXACT_IN_JSON = (T.StringType, T.IntegralType, T.DecimalType, T.BooleanType, T.DateType)
+
 ISSUE_KEYS = ("model_id", "model_grp", "key_column", "validation_type", "src_load_ts")
 
 
@@ -159,6 +163,20 @@ def record_issues(check: DataFrame, issues: DataFrame) -> DataFrame:
     return merge_update_subset(check, issues, ISSUE_KEYS, updated)
 
 
+def _present_keys(open_keys: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The key objects (``key_column``) whose key the target has."""
+    fields = [T.StructField(k, target.schema[k].dataType) for k in keys]
+    if not all(isinstance(f.dataType, _EXACT_IN_JSON) for f in fields):
+        rendered = target.select(key_json(keys).alias("key_column"))
+        return rendered.join(open_keys, ["key_column"], "left_semi").distinct()
+    parsed = F.from_json("key_column", T.StructType(fields))
+    typed = open_keys.select("key_column", parsed.alias("_k"))
+    typed = typed.select("key_column", *[F.col("_k").getField(k).alias(k) for k in keys])
+    typed = typed.where(key_json(keys) == F.col("key_column"))  # objects of other columns fall out
+    held = join_null_safe(target.select(*keys), typed.select(*keys), keys, "left_semi").distinct()
+    return join_null_safe(typed, held, keys, "left_semi").select("key_column")
+
+
 def resolve_issues(
     check: DataFrame,
     target: DataFrame,
@@ -170,8 +188,8 @@ def resolve_issues(
 ) -> DataFrame:
     """Issues of earlier batches succeed once their key is in the target.
 
-    The target's keys are cut to the open ones first, as the check table is
-    small next to the target.
+    The open key objects, few next to the target, are parsed into columns, so the
+    target is filtered by its own key columns.
     """
     is_open = (
         (F.col("model_id") == model_id)
@@ -179,12 +197,7 @@ def resolve_issues(
         & (F.col("batch_id") < as_batch(batch_id))
     )
     open_keys = distinct_keys(check.where(is_open), ["key_column"])
-    present = (
-        target.select(key_json(keys).alias("key_column"))
-        .join(open_keys, ["key_column"], "left_semi")
-        .distinct()
-        .withColumnRenamed("key_column", "_key")
-    )
+    present = _present_keys(open_keys, target, list(keys)).withColumnRenamed("key_column", "_key")
     return (
         check.join(present, is_open & (F.col("key_column") == F.col("_key")), "left")
         .withColumn(

@@ -1,7 +1,8 @@
 """Whole loads, composed from the operators.
 
-Each returns the next state of its tables as lazy frames, so a load is one plan
-per table and every table is written once.
+Each returns the next state of its tables as frames, so a load is one plan per
+table and every table is written once. Loads that stage their increment or their
+numbered versions write those when called; the rest is lazy.
 """
 
 from __future__ import annotations
@@ -26,12 +27,14 @@ from millrace.operators.deletes import (
     apply_hard_delete,
     capture_deleted_keys,
     capture_missing_rows,
+    deleted_since_written,
     logged_keys,
+    newest_deletes,
     soft_delete,
     surviving_rows,
 )
 from millrace.operators.filters import delete_events, incremental_filter
-from millrace.operators.journal import journal_reload, newest_journal_segments
+from millrace.operators.journal import journal_reload, newest_journal_segments, segments_above
 from millrace.operators.joins import anti_not_exists, semi_exists
 from millrace.operators.latest import latest_by_max, latest_by_rank
 from millrace.operators.merge import (
@@ -90,6 +93,10 @@ class SilverLoad:
     def log(self) -> DataFrame | None:
         return self._other("log")
 
+    @cached_property
+    def rows_deleted(self) -> DataFrame | None:
+        return self._other("rows_deleted")
+
     @cached_property
     def check(self) -> DataFrame | None:
         return self._other("check")
@@ -145,16 +152,28 @@ def journal_to_bronze(
     segments: DataFrame,
     read_segment: Callable[[str], DataFrame],
     table: str,
+    *,
+    k: int | None = None,
+    load_type: str = "incremental",
+    since=None,
     **kwargs,
 ) -> DataFrame:
-    """Reload from the two newest journal segments of the table.
+    """Reload from all journal segments that can hold rows above the watermark.
 
-    Only their names (at most two) come to the driver.
+    ``k`` takes the k newest ones instead; the target's rows of other segments
+    then stay, above the watermark too. Only segment names come to the driver.
     """
-    names = [row["table_name"] for row in newest_journal_segments(segments, table).collect()]
+    if k is not None:
+        wanted = newest_journal_segments(segments, table, k)
+    else:
+        wanted = segments_above(segments, table, None if load_type == "full" else since)
+    names = sorted(row["table_name"] for row in wanted.select("table_name").collect())
     if not names:
         return target
-    return journal_reload(target, [(name, read_segment(name)) for name in names], **kwargs)
+    read = [(name, read_segment(name)) for name in names]
+    return journal_reload(
+        target, read, load_type=load_type, since=since, only_listed=k is not None, **kwargs
+    )
 
 
 def _latest(
@@ -237,9 +256,10 @@ def staged_cdc_to_silver(
 ) -> SilverLoad:
     """Upsert staged change rows, then log and apply the journal's deletes.
 
-    Removed are the keys with a delete event in ``journal``. ``sticky`` also
-    removes every key the log lists for the model from earlier batches, even if
-    it was inserted again since.
+    Removed are rows whose key has a delete event above ``since`` that isn't
+    older than the row: a key inserted again after its delete stays. ``sticky``
+    removes every key with a delete event in ``journal`` or in the model's log,
+    even if it was inserted again since. ``rows_deleted`` counts the removed rows.
 
     Schema drift is recorded, not fatal: source columns the target lacks are
     ignored, a target column the source lacks is an error.
@@ -254,11 +274,17 @@ def staged_cdc_to_silver(
     rows = rows.select(*wanted, F.col(ts_col).alias("_seen"))
     stamped = _increment(rows, stage_increment, batch_id, load_ts, F.col("_seen"))
     merged = merge_upsert(target, stamped.drop("_seen"), keys)
-    gone = delete_events(journal).select(F.col(journal_key).alias("pk"))
     if sticky:
+        gone, residual = delete_events(journal).select(F.col(journal_key).alias("pk")), None
         gone = gone.unionByName(logged_keys(log, model_id))
-    remaining = apply_hard_delete(merged, gone, {key_col: "pk"})
+    else:
+        gone, residual = newest_deletes(journal, since, key_col=journal_key), deleted_since_written()
+    on = {key_col: "pk"}
+    remaining = apply_hard_delete(merged, gone, on, residual)
     others = {
+        "rows_deleted": lambda: semi_exists(merged, gone, on, residual)
+        .agg(F.count(F.lit(1)).alias("rows_deleted"))
+        .select(F.lit(model_id).alias("model_id"), "rows_deleted"),
         "log": lambda: capture_deleted_keys(
             log,
             journal,
@@ -349,7 +375,9 @@ def prevalidated_to_silver(
                 find_null_keys(rows, keys, **how, **stamps)
             )
             recorded = record_issues(check, issues)
-        return resolve_issues(recorded, merged, keys, batch_id, **names)
+        # The keys of the merged table, without merging.
+        held = target.select(*keys).unionByName(stamped.select(*keys))
+        return resolve_issues(recorded, held, keys, batch_id, **names)
 
     return SilverLoad(merged, check=next_check)
 

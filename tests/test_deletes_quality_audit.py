@@ -59,11 +59,15 @@ def test_capture_and_survivors_cover_the_target(frame, rows):
     assert rows(left) == rows(surviving_rows(target, stage, ["k"]))
 
 
-def test_hard_delete_by_condition(frame, rows):
+def test_hard_delete_by_keys_and_condition(frame, rows):
     target = frame("id int, v int", (1, 1), (2, 2), (3, None))
     deleted = frame("key int, lo int", (1, 0), (2, 5), (2, 1))
-    on = (F.col("t.id") == F.col("s.key")) & (F.col("t.v") > F.col("s.lo"))
-    assert rows(apply_hard_delete(target, deleted, on)) == [(3, None)]
+    residual = F.col("t.v") > F.col("s.lo")
+    assert rows(apply_hard_delete(target, deleted, {"id": "key"}, residual)) == [(3, None)]
+    with pytest.raises(TypeError, match="equality keys"):
+        apply_hard_delete(target, deleted, F.col("t.v") > F.col("s.lo"))
+    with pytest.raises(ValueError, match="equality key"):
+        apply_hard_delete(target, deleted, [], residual)
 
 
 LOG = (
@@ -106,7 +110,8 @@ def test_soft_delete_closes_active_rows_only(frame, rows):
     )
     deleted = frame("id int", (1,), (1,), (None,))
     assert rows(soft_delete(dim, deleted, {"sk": "id"})) == expected
-    assert rows(soft_delete(dim, deleted, F.col("t.sk") == F.col("s.id"))) == expected
+    assert rows(soft_delete(dim, deleted, {"sk": "id"}, F.col("s.id") > 0)) == expected
+    assert rows(soft_delete(dim, deleted, {"sk": "id"}, F.col("s.id") > 1)) == rows(dim)
     log = frame(LOG, ("Db.T_T", "g", "p", 1, T1, 1, T1, T1))
     assert rows(soft_delete_by_log(dim, log, "db.t_v", "sk")) == expected
 
@@ -176,6 +181,21 @@ def test_issue_lifecycle(frame, rows):
     assert rows(other, "success_flg") == [("N",), ("N",)]
 
 
+@pytest.mark.parametrize("kind", ["int", "string", "decimal(9,2)", "double", "timestamp_ntz"])
+def test_resolve_issues_by_typed_keys(spark, rows, kind):
+    values = "(2, 'x'), (NULL, 'y'), (3, NULL), (5, 'é\"')"
+    target = spark.sql(f"SELECT CAST(a AS {'timestamp' if 'time' in kind else kind}) AS a, b FROM VALUES {values} AS t(a, b)")
+    target = target.withColumn("a", F.col("a").cast(kind))
+    src = target.unionByName(target).withColumn("src_load_ts", F.lit(T1).cast("timestamp_ntz"))
+    found = find_duplicate_keys(src, ["b", "a"], **NAMES, batch_id=1, load_ts=T1)
+    foreign = found.limit(1).withColumn("key_column", F.lit('{"other":1}'))
+    some = target.where("b IS NULL OR b <> 'x'")
+    done = resolve_issues(found.unionByName(foreign), some, ["b", "a"], 2, **NAMES)
+    got = {r.key_column: r.success_flg for r in done.collect()}
+    assert sorted(got.values()) == ["N", "N", "Y", "Y", "Y"]
+    assert got['{"other":1}'] == "N" and next(v for k, v in got.items() if '"x"' in k) == "N"
+
+
 def test_schema_drift(spark, frame, rows):
     src = column_inventory(spark, {"m": frame("A int, b string, batch_id int, only_src int")})
     tgt = column_inventory(spark, {"m": frame("a long, B string, only_tgt int, etl_load_ts timestamp")})

@@ -255,12 +255,34 @@ def test_staged_cdc(frame, rows):
         ("at", "MISSING_IN_TARGET"),
         ("extra", "MISSING_IN_TARGET"),
     ]
+    assert [tuple(r) for r in loaded.rows_deleted.collect()] == [("m", 1)]
     sticky = staged_cdc_to_silver(target, source, journal, log, ["pk"], sticky=True, **options)
     assert rows(sticky.target, "pk") == [(1,), (4,)]
     with pytest.raises(ValueError, match="lacks"):
         staged_cdc_to_silver(target, source.drop("v"), journal, log, ["pk"], **options)
 
 
+def test_staged_cdc_keeps_keys_inserted_again(frame, rows):
+    target = frame(
+        "pk int, v string, src_load_ts timestamp_ntz, batch_id decimal(38,0), etl_load_ts timestamp_ntz, etl_updt_ts timestamp_ntz",
+        (1, "old", T1, 1, T1, T1), (2, "old", T1, 1, T1, T1), (3, "old", None, 1, T1, T1), (5, "old", T1, 1, T1, T1),
+    )
+    source = frame("pk int, v string, at timestamp_ntz", (1, "back", T3), (4, "image of the delete", T3))
+    journal = frame(
+        "primary_key__pk int, event_type string, seen_at timestamp_ntz, least_significant_position int",
+        (1, "IncrementalDeleteRows", T2, 1),  # inserted again since
+        (2, "IncrementalDeleteRows", T2, 2),
+        (3, "IncrementalDeleteRows", T2, 3),
+        (4, "IncrementalDeleteRows", T3, 4),
+        (5, "IncrementalDeleteRows", T1, 5),  # not above the watermark
+        (None, "IncrementalDeleteRows", T3, 6),
+    )
+    options = dict(ts_col="at", since=T1, model_id="m", model_grp="g", pipeline_name="p", **STAMPS)
+    loaded = staged_cdc_to_silver(target, source, journal, frame(LOG), ["pk"], **options)
+    assert rows(loaded.target, "pk") == [(1,), (5,)]
+    assert loaded.rows_deleted.first().rows_deleted == 3
+
+
 CHECK = (
     "model_id string, model_grp string, key_column string, validation_type string, issue_record_count decimal(38,0), "
     "json_value string, success_flg string, batch_id decimal(38,0), src_load_ts timestamp_ntz, "
@@ -295,3 +317,28 @@ def test_journal_to_bronze_without_segments(frame, rows):
     segments = frame("table_name string, created timestamp_ntz", ("OTHER_1", T1))
     same = journal_to_bronze(target, segments, lambda name: pytest.fail(name), "orders", **STAMPS)
     assert rows(same) == [(1,)]
+
+
+def test_journal_to_bronze_loses_no_segment(frame, rows):
+    envelope = (
+        "primary_key__pk int, event_type string, most_significant_position int, least_significant_position int, "
+        "seen_at timestamp_ntz, sf_metadata string"
+    )
+    bronze = frame(
+        f"{envelope}, attribute_value_json string, src_journal_tbl string, src_load_ts timestamp_ntz, "
+        "batch_id decimal(38,0), etl_load_ts timestamp_ntz, etl_updt_ts timestamp_ntz"
+    )
+    days = [T1.replace(day=d) for d in range(1, 7)]
+    parts = {
+        f"ORDERS_{n}": frame(f"{envelope}, PAYLOAD__A int", (n, "x", 0, n, day, "{}", n)) for n, day in enumerate(days)
+    }
+    segments = frame("table_name string, created timestamp_ntz", *[(name, day) for name, day in zip(parts, days)])
+    options = dict(since=days[1], batch_id=2, load_ts=T3)
+    before = journal_to_bronze(bronze, segments, parts.get, "orders", batch_id=1, load_ts=T1)
+    assert rows(before, "primary_key__pk") == [(n,) for n in range(6)]
+    read = []
+    after = journal_to_bronze(before, segments, lambda name: read.append(name) or parts[name], "orders", **options)
+    assert rows(after, "primary_key__pk", "batch_id") == [(n, 1 if n < 2 else 2) for n in range(6)]
+    assert read == [f"ORDERS_{n}" for n in range(1, 6)]
+    two = journal_to_bronze(before, segments, parts.get, "orders", k=2, **options)
+    assert rows(two, "primary_key__pk", "batch_id") == [(n, 1 if n < 4 else 2) for n in range(6)]
