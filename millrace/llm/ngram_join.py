@@ -214,7 +214,8 @@ def ngram_jaccard_join(
     rest = stage(_pairs(x.join(y, meets), num, den).join(pairs, ["a", "b"], "left_anti"), "pairs")
     more = stage(_verified(rest, sets, num, den), "links")
     if not more.isEmpty():
-        found = connected_components(edges.union(named(more)))
+        stars = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        found = connected_components(stars.union(named(more)))
     found = found.select(F.col("node").alias("doc_id"), "component")
     return rows.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")

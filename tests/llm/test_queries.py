@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from compare import difference
-from millrace.llm import decontaminate, pii, quality_rules, url_filters, wrappers
+from millrace.llm import components, decontaminate, pii, quality_rules, url_filters, wrappers
 from millrace.llm.interpolated_lm import interpolated_lm
 from millrace.llm.ngram_join import drop_near_duplicates, ngram_jaccard_join
 from millrace.llm.packing import best_fit_decreasing, pack, sequences
@@ -57,6 +57,20 @@ def test_join_and_near_duplicates_on_odd_rows(odd_docs):
     assert sorted(i for i in kept if i is not None) == [1, 4, 5, 6, 7, 9, 10, 11, 12, 13, 14] and kept.count(None) == 2
 
 
+def test_components_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (150, 2))] + [(k, k + 1) for k in range(400, 440)]
+    edges += [(500, k) for k in range(501, 560)] + [(7, 7), (None, 3), (4, None)]
+    low = {x: x for e in edges if None not in e and e[0] != e[1] for x in e}
+    for _ in low:
+        for a, b in edges:
+            if a in low and b in low:
+                low[a] = low[b] = min(low[a], low[b])
+    found = components.connected_components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(5)).collect()
+    assert sorted((r.node, r.component) for r in found) == sorted(low.items())
+    assert components.connected_components(spark.createDataFrame([], "a bigint, b bigint")).isEmpty()
+
+
 def test_near_copies_link_through_chains(spark):
     text = [f"w{i}" for i in range(200)]
     rows = []
