@@ -4,8 +4,13 @@ A document is compared to its language. Two histograms are taken from every
 text, of character classes and of the language's common words; the references
 are the same histograms summed over all documents of a language. A document is
 rejected if its Jensen-Shannon distance (base 2, 0 to 1) to the reference is
-above the limit of the histogram. Short texts have noisy histograms: each
-comparison is made only above a minimum length.
+above the limit of the histogram. Short texts have noisy histograms: the common
+words alone reject only above a minimum length, and so do the classes; below
+theirs the common words must speak against the text as well, by more than the
+sampling noise of its length. A token with digits (card, address, key, e-mail)
+counts as one digit among the classes, so personal data, which a later step
+masks, is no reason to reject. Accented and other wide letters count as letters:
+their share tells the language, and texts in two languages are no junk.
 
 Counted rules come first: too few words, or too many words in 3-word windows
 that the text repeats.
@@ -38,7 +43,9 @@ _CLASSES = {
     "bar": "[^|]+",
     "symbol": "[^#*$%&<>]+",
 }
-_BINS = 3 + len(_CLASSES) + 1  # white space, plain letters, wide letters' further bytes, these, the rest
+# Numbers, addresses, keys and the like, with the signs inside them; counted as one digit.
+_IDENTIFIER = r"""(?<![A-Za-z0-9._@+="'\-])[A-Za-z._@+="'\-]*+[0-9][A-Za-z0-9._@+="'\-]*+"""
+_BINS = 2 + len(_CLASSES) + 1  # white space, plain letters, these, the rest
 _FEW = 64  # repeated windows found by scanning a list; more are found by sorting
 MAX_LANGUAGES = 10_000  # references up to this number are broadcast
 
@@ -105,10 +112,11 @@ def _measures(text: Column, lang: Column, common: Mapping[str, Sequence[str]], r
         own = F.concat(F.lit(" "), word(i), F.lit(" "))
         return (F.octet_length(spaced) - F.octet_length(F.replace(spaced, own, F.lit("")))) / F.octet_length(own)
 
-    def classes(chars: Column, rest: Column) -> Column:
+    def classes(chars: Column, counted: Column, rest: Column) -> Column:
+        spaces = F.char_length(text) - chars
         counts = F.array(*(_only(rest, p) for p in _CLASSES.values()))
         return let(counts, lambda c: F.concat(
-            F.array(F.char_length(text) - chars, chars - F.char_length(rest), F.octet_length(text) - F.char_length(text)),
+            F.array(spaces, F.char_length(counted) - spaces - F.char_length(rest)),
             c, F.array(F.char_length(rest) - F.aggregate(c, F.lit(0), lambda s, x: s + x)),
         ))
 
@@ -120,7 +128,9 @@ def _measures(text: Column, lang: Column, common: Mapping[str, Sequence[str]], r
             F.size(w).cast("bigint").alias("n_words"),
             let(F.char_length(F.array_join(w, "")), lambda chars: F.struct(
                 chars.cast("bigint").alias("word_chars"),
-                let(F.regexp_replace(text, _PLAIN, ""), lambda rest: classes(chars, rest)).alias("classes"),
+                let(F.regexp_replace(text, _IDENTIFIER, "0"), lambda counted: let(
+                    F.regexp_replace(counted, _PLAIN, ""), lambda rest: classes(chars, counted, rest)
+                )).alias("classes"),
             )).alias("c"),
             # The last bin is all other words; a language without a list has no such histogram.
             let(hits, lambda h: F.concat(h, F.array(n - F.aggregate(h, F.lit(0.0), lambda s, x: s + x)))).alias("common"),
@@ -163,7 +173,7 @@ def measure(
     return docs.withColumn(f"{prefix}m", _measures(text, lang, common, repeats=True)).withColumns({
         f"{prefix}n_words": m["n_words"],
         f"{prefix}word_chars": m["c"]["word_chars"],
-        f"{prefix}n_symbols": (m["c"]["classes"][3 + list(_CLASSES).index("bar")] + m["c"]["classes"][3 + list(_CLASSES).index("symbol")]).cast("bigint"),
+        f"{prefix}n_symbols": (m["c"]["classes"][2 + list(_CLASSES).index("bar")] + m["c"]["classes"][2 + list(_CLASSES).index("symbol")]).cast("bigint"),
         f"{prefix}n_dup_lines": let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint")),
         f"{prefix}n_repeat_words": m["n_repeat_words"],
         f"{prefix}classes": m["c"]["classes"],
@@ -205,9 +215,10 @@ def judge(
     min_words: int = 50,
     max_repeated: float = 0.5,
     class_limit: float = 0.19,
-    class_min_words: int = 50,
+    class_min_words: int = 100,
     common_limit: float = 0.22,
     common_min_words: int = 100,
+    common_noise: float = 1.2,
     prefix: str = "rule_",
 ) -> DataFrame:
     """``measured`` with ``class_distance``, ``common_distance``, ``base_failed``, ``kept``,
@@ -215,17 +226,25 @@ def judge(
 
     A NULL or empty text has no words and fails. A NULL language is one of its
     own; a language without common words is compared by character classes alone.
+    Below ``class_min_words`` a text far by its classes is kept if its common words
+    are nearer than ``common_noise / sqrt(n_words)``, about the median distance of
+    clean texts of that length. ``class_distance`` is NULL below ``min_words``, where
+    all texts fail anyway, ``common_distance`` below ``common_min_words``.
     """
     p = prefix
     n = F.col(f"{p}n_words")
-    far = (F.col(f"{p}class_distance") > class_limit) | (F.col(f"{p}common_distance") > common_limit)
+    listed = (F.size(f"{p}common") > 1) & F.get(f"{p}common", F.lit(0)).isNotNull()  # else there are no common words to speak for the text
+    usual = listed & (F.col(f"{p}near") <= F.lit(common_noise) / F.sqrt(n))
+    classes_far = (F.col(f"{p}class_distance") > class_limit) & ((n >= class_min_words) | ~F.coalesce(usual, F.lit(False)))
+    far = classes_far | (F.col(f"{p}common_distance") > common_limit)
     return (
         measured.join(refs, F.col(f"{p}lang") == F.col(f"{p}ref_lang"), "left")
         .withColumns({
-            f"{p}class_distance": F.when(n >= class_min_words, _js(F.col(f"{p}classes"), F.col(f"{p}ref_classes"))),
-            f"{p}common_distance": F.when(n >= common_min_words, _js(F.col(f"{p}common"), F.col(f"{p}ref_common"))),
+            f"{p}class_distance": F.when(n >= min_words, _js(F.col(f"{p}classes"), F.col(f"{p}ref_classes"))),
+            f"{p}near": F.when(n >= min_words, _js(F.col(f"{p}common"), F.col(f"{p}ref_common"))),
             f"{p}base_failed": (n < min_words) | (F.col(f"{p}n_repeat_words") > n * max_repeated),
         })
+        .withColumn(f"{p}common_distance", F.when(n >= common_min_words, F.col(f"{p}near")))
         .withColumn(f"{p}kept", ~F.col(f"{p}base_failed") & ~F.coalesce(far, F.lit(False)))
-        .drop(*(p + x for x in ("classes", "common", "lang", "ref_lang", "ref_classes", "ref_common")))
+        .drop(*(p + x for x in ("classes", "common", "near", "lang", "ref_lang", "ref_classes", "ref_common")))
     )

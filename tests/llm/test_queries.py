@@ -110,6 +110,32 @@ def test_rules_reject_junk_and_keep_clean(spark, docs, sf_dir):
     assert all(k for q, k in kept if q == 1) and not all(k for q, k in kept if q == 0)
 
 
+def test_rules_keep_short_clean_documents_with_personal_data(spark, sf_dir):
+    larger = sf_dir.replace("sf0.001", "sf0.1")
+    labels = spark.read.parquet(f"{larger}/labels.parquet").select("doc_id", "quality")
+    judged = QUERIES["op5_quality_rules"](spark, larger).join(labels, "doc_id").filter("not base_failed").collect()
+    assert [r.doc_id for r in judged if r.quality == 1 and not r.kept] == []
+    assert [r.doc_id for r in judged if r.quality == 0 and r.kept] == []
+
+
+def test_wide_letters_are_letters(spark):
+    rows = [(1, "abc " * 80, "en"), (2, "\u00e9\u00e8\u00ea " * 80, "en")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: list(r.rule_classes) for r in quality_rules.measure(frame).collect()}
+    assert found[1] == found[2]
+
+
+def test_classes_of_short_texts_need_the_common_words_too(spark):
+    def kept(n, near, common):
+        classes = [0] * 8 + [100] if n else [100] + [0] * 8
+        row = spark.createDataFrame([(n, 0, classes, common, "en")], "rule_n_words long, rule_n_repeat_words long, rule_classes array<int>, rule_common array<double>, rule_lang string")
+        refs = spark.createDataFrame([("en", [100.0] + [0.0] * 8, near)], "rule_ref_lang string, rule_ref_classes array<double>, rule_ref_common array<double>")
+        return quality_rules.judge(row, refs).first().rule_kept
+
+    assert kept(60, [1.0, 9.0], [1.0, 9.0]) and not kept(100, [1.0, 9.0], [1.0, 9.0])  # noise of classes alone, short and long
+    assert not kept(60, [1.0, 9.0], [9.0, 1.0]) and not kept(60, [1.0, 9.0], [None, None])
+
+
 def test_many_repeated_windows_are_counted(spark):
     text = " ".join(f"w{i % 100}" for i in range(200))
     row = quality_rules.measure(spark.createDataFrame([(1, text, "en")], "doc_id long, text string, lang string")).first()
