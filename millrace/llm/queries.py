@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from millrace.llm import decontaminate as leaks
 from millrace.llm import pii, quality_rules
 from millrace.llm.common import prepare
+from millrace.llm.cuckoo_dedup import exact_dedup
+from millrace.llm.importance_resampling import importance_resample
 from millrace.llm.interpolated_lm import interpolated_lm
 from millrace.llm.ngram_join import ngram_jaccard_join
 from millrace.llm.packing import pack
 from millrace.llm.pairwise_quality import pairwise_quality
+from millrace.llm.prefix_trie import prefix_trie, regrafted, sequences
 from millrace.llm.token_table import read_tokens, stored_documents, write_token_table
 from millrace.llm.url_filters import filter_urls
 from millrace.llm.wrappers import extract_main_text
@@ -129,6 +132,24 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie(regrafted(sequences(table(spark, sf_dir, "conversations")), group=5, most=8))
+
+
+@query
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays of every group of equal texts."""
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by their likeness to the benchmark."""
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES["op2_ngram_jaccard_join"] = rf"""
@@ -185,3 +206,68 @@ SELECT page_id, any_value(host) AS host, any_value(path) AS path, arg_max(rule,
 FROM urls LEFT JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
 GROUP BY page_id
 """
+
+# crc32 in SQL: the table from its rule, then one lookup a byte.
+_CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)
+)"""
+
+
+def _crc(text: str) -> str:
+    """crc32 of a text column; needs ``crc_table`` among the tables."""
+    code = f"hex(encode({text}))"
+    found = f"list_transform(range(0, CAST(length({code}) // 2 AS BIGINT)), lambda i: CAST('0x' || substr({code}, 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {found}), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295)"
+
+
+ORACLES["op11_prefix_trie"] = f"""
+WITH RECURSIVE {_CRC_TABLE}, own AS (
+  SELECT conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS w
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), cut AS (SELECT conv_id, w, {_crc("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM own, crc_table),
+rebuilt AS (
+  SELECT a.conv_id AS c, list_concat(coalesce(b.w[1:a.h], []), a.w[a.h + 1:]) AS w
+  FROM cut a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5
+), prefixes AS (
+  SELECT c, d, len(w) AS n, CAST(w[1:d] AS VARCHAR) || '#' || d AS p, CASE WHEN d > 0 THEN CAST(w[1:d - 1] AS VARCHAR) || '#' || (d - 1) END AS up,
+    CASE WHEN d > 0 THEN octet_length(encode(w[d].x)) ELSE 0 END AS b
+  FROM (SELECT c, w, unnest(range(0, len(w) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT p, up, d, any_value(b) AS b, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '')) AS ends
+  FROM prefixes GROUP BY p, up, d
+), family AS (SELECT a.*, (SELECT count(*) FROM nodes k WHERE k.up = a.p) AS n_children FROM nodes a),
+upward AS (
+  SELECT p AS top, up, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * b AS saved FROM family
+  UNION ALL SELECT f.p, f.up, leaf, saved FROM upward u JOIN family f ON f.p = u.up
+), sums AS (SELECT top, sum(leaf) AS n_leaves, sum(saved) AS saved FROM upward GROUP BY top)
+SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, b.conv_id AS parent_conv_id, a.n_convs, a.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, a.ends AS ends_sha256
+FROM family a JOIN sums ON top = a.p LEFT JOIN nodes b ON b.p = a.up
+"""
+
+ORACLES["op12_exact_dedup"] = f"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(x) AS text_sha256
+FROM (SELECT doc_id, {_LOWERED} AS x FROM documents) WINDOW same AS (PARTITION BY x)
+"""
+
+_FEATURES = rf"unnest(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))"
+ORACLES["op13_importance_resampling"] = f"""
+WITH {_CRC_TABLE}, doc_words AS (SELECT doc_id, {_FEATURES} AS w FROM documents), item_words AS (SELECT {_FEATURES} AS w FROM benchmark),
+vocabulary AS (
+  SELECT w, {_crc("w")} % 10000 AS b FROM (SELECT DISTINCT w FROM (SELECT w FROM doc_words UNION ALL SELECT w FROM item_words)), crc_table
+), s AS (SELECT b, count(*) AS s FROM doc_words JOIN vocabulary USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM item_words JOIN vocabulary USING (w) GROUP BY b),
+sizes AS (SELECT (SELECT count(*) FROM doc_words) AS s_all, (SELECT count(*) FROM item_words) AS t_all),
+gain AS (
+  SELECT w, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * (s_all + 10000) AS DOUBLE) / CAST((coalesce(s, 0) + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS g
+  FROM vocabulary LEFT JOIN s USING (b) LEFT JOIN t USING (b), sizes
+), weights AS (SELECT doc_id, count(*) AS n, sum(g) AS g FROM doc_words JOIN gain USING (w) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, CAST(coalesce(g, 0) AS BIGINT) AS weight,
+    CAST(coalesce(g, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weights USING (doc_id)
+), ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
