@@ -10,7 +10,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import oracle_sql, queries
+from checks import ORACLES, QUERIES
 from checks.registry import all_orders, silver
 from compare import difference
 from millrace.functions.columns import stamp_audit
@@ -66,8 +66,8 @@ JOINING = (
 @pytest.mark.parametrize("name", JOINING)
 def test_result_holds_without_broadcasts(spark, con, sf_dir, name):
     with large(spark):
-        df = queries()[name](spark, sf_dir)
-        assert difference(df, con, oracle_sql()[name]) is None
+        df = QUERIES[name](spark, sf_dir)
+        assert difference(df, con, ORACLES[name]) is None
 
 
 def test_hot_target_key_is_split(spark):
@@ -100,7 +100,7 @@ def test_small_source_leaves_the_target_unshuffled(spark, sf_dir):
 
 
 def test_watermark_reaches_the_scan(spark, sf_dir):
-    text = plan(queries()["latest_then_increment"](spark, sf_dir))
+    text = plan(QUERIES["latest_then_increment"](spark, sf_dir))
     scans = re.findall(r"PushedFilters: \[[^\]]*\]", text)
     assert len(scans) == 2 and all("GreaterThan(o_orderdate" in s for s in scans)
 
@@ -111,12 +111,12 @@ def test_latest_by_rank_limits_groups_before_the_shuffle(spark, sf_dir):
 
 
 def test_columns_are_pruned(spark, sf_dir):
-    text = plan(queries()["max_per_key"](spark, sf_dir))
+    text = plan(QUERIES["max_per_key"](spark, sf_dir))
     assert re.search(r"ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>", text)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_workers_and_no_wide_cross_joins(spark, sf_dir, name):
-    text = plan(queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     assert not re.search(r"EvalPython|InPandas|InArrow|PythonMap", text)
     assert not re.search(r"CartesianProduct|NestedLoopJoin", text)
