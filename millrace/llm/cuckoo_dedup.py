@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -241,10 +242,10 @@ class DedupIndex:
         change = hit.select("digest", *nothing).unionByName(left.join(none, "digest", "left_semi"))
 
         def apply(index: CuckooIndex, table: pa.Table) -> None:
-            asked = table.filter(pa.compute.is_null(table.column("n"))).column("digest").to_pylist()
+            asked = table.filter(pc.is_null(table.column("n"))).column("digest").to_pylist()
             for digest in asked:
                 index.delete(digest)
-            _insert_all(table.filter(pa.compute.is_valid(table.column("n"))), index)
+            _insert_all(table.filter(pc.is_valid(table.column("n"))), index)
 
         return DedupIndex(rows, self._changed(change, apply), self.shards)
 
