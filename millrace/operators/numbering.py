@@ -3,6 +3,10 @@
 A window without partition keys, or partitioned by a key that may hold a third
 of all rows, is one sort in one task. Here rows are range-partitioned instead:
 a range boundary may fall inside a key, so hot keys split like any other rows.
+
+Per-key results are a segmented scan. Each range is scanned by itself, keyed by
+(range, key); what a key brings along from other ranges is a carry. Only the key at
+a range's edge can have one, so the carries are a table of one row per range.
 """
 
 from __future__ import annotations
@@ -21,21 +25,24 @@ def _ascending(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in cols]
 
 
-def _number_in_order(df: DataFrame, order_cols: Sequence[str], out: str) -> DataFrame:
-    """1..N along a *unique* order.
-
-    Ranged, sorted rows are staged together with their partition and their place
-    in it; adding the row counts of the partitions before gives the number. The
-    offsets table has one row per partition, which bounds both its single-task
-    running sum and its broadcast.
-    """
-    order = _ascending(order_cols)
-    placed = stage(
+def _ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Rows in ranges along the order, staged with their range and their place (``_part``, ``_place``)."""
+    placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id()),
-        "numbered",
-    ).withColumn("_part", F.shiftright("_place", _ROW_BITS))
+        .withColumn("_place", F.monotonically_increasing_id())
+    )
+    return stage(placed, "ranged").withColumn("_part", F.shiftright("_place", _ROW_BITS))
+
+
+def _per_range(carries: DataFrame) -> DataFrame:
+    """One row per range, staged; that bounds its single-task windows and its broadcast."""
+    return F.broadcast(stage(carries, "carries"))
+
+
+def _number_in_order(df: DataFrame, order_cols: Sequence[str], out: str) -> DataFrame:
+    """1..N along a *unique* order: a row's place in its range, and the rows of all ranges before."""
+    placed = _ranged(df, _ascending(order_cols))
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -99,6 +106,41 @@ def with_dense_rank(df: DataFrame, key_cols: Sequence[str], out: str = "rank") -
     return join_null_safe(df, dense_rank_global(df, key_cols, out), key_cols)
 
 
+def _rows_carried(ranged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(_part, _key, _carry): the first key of each range, and how many of its rows earlier ranges hold.
+
+    A key's run begins at the last row of another key, or of none, before it. So
+    the run at a range's end began in that range, or, if the range has one key
+    only and continues the one before, where that one's run began: at the last range
+    before that has a beginning.
+    """
+    key = F.struct(*keys)
+    spans = ranged.groupBy("_part").agg(
+        F.min(key).alias("_first"),
+        # The largest key at its smallest place: where the last run begins here.
+        F.max(F.struct(*keys, (-F.col("_place")).alias("_at"))).alias("_last"),
+        F.count(F.lit(1)).alias("_size"),
+    )
+    along = Window.orderBy("_part")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    place_in_part = -F.col("_last._at") - F.shiftleft("_part", _ROW_BITS)
+    last_key = F.struct(*[F.col(f"_last.`{k}`").alias(k) for k in keys])
+    spans = spans.select(
+        "_part",
+        "_first",
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
+        place_in_part.alias("_begin"),
+        last_key.alias("_last"),
+    )
+    continues = F.lag("_last").over(along).eqNullSafe(F.col("_first"))
+    spans = spans.withColumn("_continues", continues)
+    goes_through = F.col("_continues") & F.col("_last").eqNullSafe(F.col("_first"))
+    begins = F.when(~goes_through, F.col("_offset") + F.col("_begin"))
+    began = F.last(begins, ignorenulls=True).over(before)
+    carry = F.when(F.col("_continues"), F.col("_offset") - began).otherwise(0)
+    return spans.select("_part", F.col("_first").alias("_key"), carry.alias("_carry"))
+
+
 def row_number_per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -106,44 +148,42 @@ def row_number_per_key(
     out: str = "rn",
     unique_order: bool = False,
 ) -> DataFrame:
-    """``row_number()`` within each key.
+    """``row_number()`` within each key, as a segmented scan over ranges of (keys, order).
 
-    Rows are numbered along (keys, order) over the whole frame; a key's numbers
-    are consecutive there, so subtracting its first one restarts them at 1.
+    A row's number is its number within (range, key), plus the key's rows in
+    earlier ranges if the key is the range's first.
     """
-    rows, address, order = _addressed(df, [*keys, *order_cols], unique_order)
-    numbered = _number_in_order(rows.select(*order), order, "_g")
-    first = numbered.groupBy(*keys).agg(F.min("_g").alias("_first"))
-    numbers = join_null_safe(numbered, first, keys).select(
-        *address, (F.col("_g") - F.col("_first") + 1).alias(out)
+    rows, _, order = _addressed(df, order_cols, unique_order)
+    # Keys with NULLs first, as structs of them compare.
+    ranged = _ranged(rows, [*[F.col(k).asc() for k in keys], *_ascending(order)])
+    carries = _per_range(_rows_carried(ranged, keys))
+    here = F.row_number().over(Window.partitionBy("_part", *keys).orderBy("_place"))
+    carried = F.when(F.struct(*keys).eqNullSafe(F.col("_key")), F.col("_carry")).otherwise(0)
+    return (
+        ranged.withColumn("_here", here)
+        .join(carries, "_part")
+        .withColumn(out, F.col("_here") + carried)
+        .select(*df.columns, out)
     )
-    return join_null_safe(rows, numbers, address).select(*df.columns, out)
 
 
 def next_start(df: DataFrame, sk: str, start: str, tie: str) -> DataFrame:
     """Per (key, start): the key's next later start and the largest ``tie`` value.
 
-    Two levels keep a hot key in many tasks. Within a (key, minute) a plain lead
-    finds the next start; the last start of a minute takes the first start of the
-    key's next minute that has any. Both groups are bounded whatever the data:
-    60 million microseconds per minute, half a million minutes per year.
+    The distinct starts are scanned in ranges of (key, start). The last start of
+    a key in its range is followed by the next range's first one, if that has the same key.
     """
-    in_minute = Window.partitionBy(sk, "_day", "_min").orderBy(start)
-    by_minute = Window.partitionBy(sk).orderBy("_day", "_min")
-    minute = {"_day": F.to_date(start), "_min": F.hour(start) * 60 + F.minute(start)}
-    starts = (
-        df.groupBy(sk, start)
-        .agg(F.max(tie).alias("_last_tie"))
-        .withColumns(minute)
-        .withColumn("_next_here", F.lead(start).over(in_minute))
-    )
-    # Aggregated from the rows, not from ``starts``: one shuffle less.
-    heads = df.withColumns(minute).groupBy(sk, "_day", "_min").agg(F.min(start).alias("_head"))
-    following = heads.select(
-        sk, "_day", "_min", F.lead("_head").over(by_minute).alias("_next_head")
-    )
-    return starts.join(following, [sk, "_day", "_min"]).select(
-        sk, start, "_last_tie", F.coalesce("_next_here", "_next_head").alias("_next_start")
+    points = df.groupBy(sk, start).agg(F.max(tie).alias("_last_tie"))
+    ranged = _ranged(points, [F.col(sk).asc(), F.col(start).asc()])
+    heads = ranged.groupBy("_part").agg(F.min(F.struct(sk, start)).alias("_head"))
+    along = Window.orderBy("_part")
+    following = _per_range(heads.select("_part", F.lead("_head").over(along).alias("_head")))
+    here = F.lead(start).over(Window.partitionBy("_part", sk).orderBy("_place"))
+    beyond = F.when(F.col(f"_head.`{sk}`") == F.col(sk), F.col(f"_head.`{start}`"))
+    return (
+        ranged.withColumn("_here", here)
+        .join(following, "_part")
+        .select(sk, start, "_last_tie", F.coalesce("_here", beyond).alias("_next_start"))
     )
 
 

@@ -30,13 +30,13 @@ from millrace.operators.deletes import (
     deleted_since_written,
     logged_keys,
     newest_deletes,
-    soft_delete,
     surviving_rows,
 )
 from millrace.operators.filters import delete_events, incremental_filter
 from millrace.operators.journal import journal_reload, newest_journal_segments, segments_above
 from millrace.operators.joins import anti_not_exists, semi_exists
 from millrace.operators.latest import latest_by_max, latest_by_rank
+from millrace.operators.numbering import join_null_safe
 from millrace.operators.merge import (
     conform,
     delete_insert_by_key,
@@ -54,14 +54,14 @@ from millrace.operators.quality import (
     resolve_issues,
     schema_drift,
 )
+from millrace.operators.key_registry import KeyRegistry
 from millrace.operators.scd2 import (
+    apply_version_changes,
     assign_sequence_number,
     assign_surrogate_key,
-    close_versions,
-    demote_reporting,
     split_live,
+    version_changes,
 )
-from millrace.operators.sets import union_all
 from millrace.session import stage
 from millrace.sources.files import (
     load_files_by_name,
@@ -390,6 +390,10 @@ def delete_insert_to_silver(
     return delete_insert_by_key(target, source, keys, batch_id=batch_id, load_ts=load_ts)
 
 
+# Changes of type-2 versions up to this number are broadcast; a row has some hundred bytes.
+BROADCAST_CHANGES = 500_000
+
+
 def scd2_load(
     dim: DataFrame,
     src: DataFrame,
@@ -404,6 +408,9 @@ def scd2_load(
     deleted_on: Sequence[str] | None = None,
     unique_versions: bool = False,
     batch_keys_only: bool = False,
+    registry: KeyRegistry | None = None,
+    load: str | None = None,
+    broadcast_changes: int = BROADCAST_CHANGES,
 ) -> DataFrame:
     """Type-2 dimension after adding the versions of a batch.
 
@@ -411,22 +418,34 @@ def scd2_load(
     rows are appended as active versions, versions with a successor are closed,
     reporting flags reduced to one per version, and deleted keys closed.
 
-    What moves is bounded by the live part of the table. Rows that are neither
-    active nor reporting are history: no step changes them, so they bypass all
-    joins. The numbered batch, which the later steps read several times, is
-    staged; the dimension never is. Numbering reads ``src`` several times too:
-    pass a table, or stage it, if it is costly to compute.
-
-    ``batch_keys_only`` also lets live rows of keys outside the batch bypass the
-    closing steps. That gives the same table if the dimension was left closed by
-    the load before.
+    The dimension is read once for its next state, and joined once, with the
+    changes of its rows. Those are found on a few columns of its live rows, and
+    staged; in a dimension that the load before left closed they are as many as the batch
+    has keys. Up to ``broadcast_changes`` of them are broadcast, and no row of the
+    dimension moves. Beyond that the rows that are neither active nor reporting,
+    which no step changes, are read apart and bypass the join.
+
+    The numbered batch, which the later steps read several times, is staged; the
+    dimension never is. Numbering reads ``src`` several times too: pass a table, or
+    stage it, if it is costly to compute. With a ``registry`` of surrogate keys the
+    dimension isn't read for them, and the registry is extended by the new ones under
+    the name ``load``, which a load that runs again must give again.
+
+    ``batch_keys_only`` looks for changes among the batch's keys alone. That gives the
+    same table if the dimension was left closed by the load before.
     """
+    if registry is not None and load is None:
+        raise ValueError("a load that extends the registry needs a name")
+    on = list(deleted_on or [sk])
     batch = src.withColumns(
         {"hash_sk": hash_key(key_cols), "hash_seq_no": hash_key(version_cols)}
     )
-    batch = assign_surrogate_key(batch, dim, sk, key_cols)
-    batch = assign_sequence_number(batch, dim, seq, unique_order=unique_versions)
-    versions = batch.withColumns(
+    # Keys are given to distinct keys, numbers to versions; the two meet in the staged versions.
+    keys = batch.select(*key_cols, "hash_sk").distinct()
+    keys = assign_surrogate_key(keys, dim, sk, key_cols, registry=registry, load=load)
+    numbered = assign_sequence_number(batch, dim, seq, unique_order=unique_versions)
+    keyed = join_null_safe(numbered.drop(sk), keys.select(*key_cols, sk), key_cols)
+    versions = keyed.withColumns(
         {
             "start_ts": as_ts(F.col(start_ts)),
             "end_ts": as_ts(None),
@@ -436,19 +455,24 @@ def scd2_load(
         }
     )
     versions = stage(conform(versions, dim.schema), "scd2-versions")
+    if registry is not None:
+        registry.extend(versions, load, sk)
 
     live, history = split_live(dim)
-    bypass = [history]
+    among = live
     if batch_keys_only:
-        bypass.append(anti_not_exists(live, versions, [sk]))
-        live = semi_exists(live, versions, [sk])
-    current = demote_reporting(close_versions(live.unionByName(versions), sk, seq), sk, seq)
-    if deleted is not None:
-        on = list(deleted_on or [sk])
-        current = soft_delete(current, deleted, on)
-        if batch_keys_only:
-            bypass[1] = soft_delete(bypass[1], deleted, on)
-    return union_all([current, *bypass])
+        among = semi_exists(live, versions, [sk])
+        if deleted is not None:
+            among = among.unionByName(semi_exists(anti_not_exists(live, versions, [sk]), deleted, on))
+    changes = stage(
+        version_changes(among.unionByName(versions), sk, seq, deleted=deleted, deleted_on=on if deleted is not None else ()),
+        "scd2-changes",
+    )
+    on = on if deleted is not None else []
+    if changes.limit(broadcast_changes + 1).count() <= broadcast_changes:
+        return apply_version_changes(dim.unionByName(versions), F.broadcast(changes), sk, seq, deleted_on=on)
+    current = apply_version_changes(live.unionByName(versions), changes, sk, seq, deleted_on=on)
+    return current.unionByName(history)
 
 
 __all__ = [

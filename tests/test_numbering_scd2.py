@@ -17,14 +17,19 @@ from millrace.operators.numbering import (
     row_number_per_key,
     with_dense_rank,
 )
+from millrace.operators.deletes import soft_delete
+from millrace.operators.key_registry import KeyRegistry
 from millrace.operators.scd2 import (
+    apply_version_changes,
     assign_sequence_number,
     assign_surrogate_key,
     close_versions,
     demote_reporting,
     split_live,
+    version_changes,
 )
 from millrace.plans.loads import scd2_load
+from millrace.session import new_folder
 from millrace.functions.columns import hash_key
 
 T1, T2, T3, T4 = (dt.datetime(2024, 1, d) for d in (1, 2, 3, 4))
@@ -64,6 +69,25 @@ def test_row_number_per_key(hot):
     assert got == expected
 
 
+def test_row_number_per_key_with_nulls_and_runs_over_many_ranges(spark):
+    """Keys that fill several ranges, NULL keys and NULL orders, whatever the number of ranges."""
+    rng = random.Random(3)
+    data = [(rng.choice([None, 1, 1, 1, 2]), rng.choice([None, "a", "b"]), i) for i in range(400)]
+    df = spark.createDataFrame(data, "k int, o string, i int").repartition(3)
+    low = lambda v: (v is None, v or "")
+    for ranges in (1, 4, 60):
+        spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+        try:
+            got = {r.i: r.rn for r in row_number_per_key(df, ["k"], ["o", "i"], unique_order=True).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+        expected = {}
+        for key in (None, 1, 2):
+            own = sorted((r for r in data if r[0] == key), key=lambda r: (low(r[1]), r[2]))
+            expected |= {r[2]: n for n, r in enumerate(own, 1)}
+        assert got == expected
+
+
 def test_dense_rank_puts_nulls_last(hot, spark):
     data, df = hot
     df = df.select("k", "v").union(spark.createDataFrame([(None, 1), (None, 1)], "k int, v int"))
@@ -178,6 +202,49 @@ def test_demote_reporting(frame):
     )
 
 
+def test_changes_do_what_the_steps_do(spark):
+    """One join with the changes against closing, demoting and deleting one after the other."""
+    rng = random.Random(11)
+    flags = ["Y", "Y", "N", None]
+    times = [T1, T2, T3, T4, None]
+    data = [
+        (rng.choice([1, 2, 3, None]), rng.choice([1, 2, None]), "", "", rng.choice(times), rng.choice([None, T4]),
+         rng.choice(flags), rng.choice(flags), T4, rng.choice(["a", "b", None]), i)
+        for i in range(300)
+    ]
+    dim = spark.createDataFrame(
+        data, DIM.replace("decimal(38,0)", "int") + ", id string, i int"
+    ).withColumns({c: F.col(c).cast("decimal(38,0)") for c in ("sk", "seq")})
+    deleted = spark.createDataFrame([("a",), (None,)], "id string")
+    expected = soft_delete(demote_reporting(close_versions(dim, "sk", "seq"), "sk", "seq"), deleted, ["id"])
+    live, _ = split_live(dim)
+    changes = version_changes(live, "sk", "seq", deleted=deleted, deleted_on=["id"])
+    got = apply_version_changes(dim, changes, "sk", "seq", deleted_on=["id"])
+    assert got.schema == dim.schema
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
+def test_registry_gives_a_load_that_runs_again_the_same_keys(spark, frame):
+    registry = KeyRegistry(spark, new_folder(spark, "registry"))
+    assert registry.entries().isEmpty() and int(registry.top().first().top) == 0
+
+    def load(name, *keys):
+        src = frame("key string, hash_sk string", *[(k, "h" + k) for k in keys])
+        keyed = assign_surrogate_key(src, None, "sk", ["key"], registry=registry, load=name)
+        registry.extend(keyed, name)
+        return {r.key: int(r.sk) for r in keyed.collect()}
+
+    assert load("1", "a", "b") == {"a": 1, "b": 2}
+    assert load("2", "b", "c", "c") == {"b": 2, "c": 4} and load("2", "b", "c") == {"b": 2, "c": 4}
+    assert load("3", "d") == {"d": 5} and load("4", "a") == {"a": 1}
+    assert sorted((r.hash_sk, int(r.sk)) for r in registry.entries().collect()) == [("ha", 1), ("hb", 2), ("hc", 4), ("hd", 5)]
+    assert int(registry.top().first().top) == 5
+    again = KeyRegistry.of_dimension(
+        frame("sk decimal(38,0), hash_sk string", (7, "x"), (9, "x"), (3, None)), new_folder(spark, "registry")
+    )
+    assert [(r.hash_sk, int(r.sk)) for r in again.entries().collect()] == [("x", 9)]
+
+
 def test_scd2_load_in_two_batches(frame, rows):
     empty = frame("id string, " + DIM)
     options = dict(sk="sk", seq="seq", key_cols=["id"], version_cols=["color"], start_ts="at", load_ts=T4)
@@ -193,8 +260,11 @@ def test_scd2_load_in_two_batches(frame, rows):
         "id string, color string, at timestamp_ntz", ("a", "blue", T2), ("a", "green", T3), ("c", "red", T2), ("b", "red", T3)
     )
     deleted = frame("id string", ("c",))
-    for only in (False, True):
-        second = scd2_load(first, batch, deleted=deleted, deleted_on=["id"], batch_keys_only=only, **options)
+    registry = KeyRegistry.of_dimension(first, new_folder(first.sparkSession, "registry"))
+    for how in (
+        {}, {"batch_keys_only": True}, {"broadcast_changes": 0}, {"registry": registry, "load": "2"}
+    ):
+        second = scd2_load(first, batch, deleted=deleted, deleted_on=["id"], **how, **options)
         got = sorted((r.id, int(r.sk), r.start_ts, r.end_ts, r.active_flg, r.reporting_flg) for r in second.collect())
         assert got == [
             ("a", 1, T1, T2, "N", "N"),

@@ -16,6 +16,7 @@ from compare import difference
 from millrace.functions.columns import stamp_audit
 from millrace.operators.latest import latest_by_rank
 from millrace.operators.merge import merge_upsert
+from millrace.operators.numbering import lead_next_start, row_number_per_key
 
 
 def plan(df) -> str:
@@ -120,3 +121,35 @@ def test_no_python_workers_and_no_wide_cross_joins(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     assert not re.search(r"EvalPython|InPandas|InArrow|PythonMap", text)
     assert not re.search(r"CartesianProduct|NestedLoopJoin", text)
+
+
+@pytest.mark.parametrize(
+    "name, most", [("row_number_per_key", 3), ("close_versions", 4), ("scd2_load", 8)]
+)
+def test_exchanges_of_scans_without_broadcasts(spark, sf_dir, name, most):
+    with large(spark):
+        text = plan(QUERIES[name](spark, sf_dir))
+    assert len(re.findall(r"Exchange ", text)) <= most
+
+
+def test_scd2_load_reads_the_dimension_once(spark, sf_dir):
+    text = plan(QUERIES["scd2_load"](spark, sf_dir))
+    assert len(re.findall(r"FileScan parquet .*events.parquet", text)) == 1
+
+
+def test_a_hot_key_is_scanned_by_many_tasks(spark):
+    """Half of the rows have one key; the scan's shuffle is keyed by (range, key)."""
+    n = 40_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"),
+        F.timestamp_seconds("id").cast("timestamp_ntz").alias("at"),
+        F.col("id").alias("v"),
+    )
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        numbered = row_number_per_key(df.repartition(8), ["k"], ["at"], unique_order=True)
+        tasks = numbered.where("k = 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(tasks) > 1 and max(r["count"] for r in tasks) < n // 2
+        assert numbered.where("k = 0 AND rn <> v / 2 + 1").isEmpty() and numbered.where("k > 0 AND rn <> 1").isEmpty()
+        led = lead_next_start(df, "k", "at", "v")
+        wrong = led.where("k = 0 AND v < 39998 AND next_start <> timestamp_seconds(v + 2)::timestamp_ntz")
+        assert wrong.isEmpty() and led.where("next_start IS NULL AND k = 0").count() == 1
