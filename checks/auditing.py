@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from checks.keyed_writes import new_rows
-from checks.registry import CTES, LOAD_TS, SQL_LOAD_TS, all_orders, query, table
+from checks.registry import CTES, LOAD_TS, SQL_LOAD_TS, all_orders, bronze, query, silver, table
 from checks.selection import merged_orders
+from millrace.functions.columns import stamp_audit
 from millrace.operators.audit import (
     close_batches,
     current_batch,
@@ -16,6 +17,9 @@ from millrace.operators.audit import (
     pending_models,
     start_models,
 )
+from millrace.operators.merge import merge_upsert
+from millrace.plans.loads import audited_load
+from millrace.session import new_folder
 
 YEAR = "2000"  # the batch under test
 
@@ -230,3 +234,54 @@ def _(spark, sf):
     return pending_models(models(spark, sf), model_audit(spark, sf), YEAR)
 
 
+
+
+def audited(spark, sf):
+    """A load of one model: bronze orders into silver, in the batch of the test."""
+    model = spark.range(1).select(
+        F.lit("m1").alias("model_id"), F.lit("g").alias("model_grp"), F.lit("shop").alias("pipeline_name")
+    )
+
+    def build(state):
+        since = state.select("inc_load_ts")
+        source = bronze(spark, sf).where(F.col("src_load_ts") > since.scalar())
+        rows = stamp_audit(source, batch_id=YEAR, load_ts=LOAD_TS)
+        return merge_upsert(silver(spark, sf), rows, ["k"], preserve_load_ts=True)
+
+    return audited_load(
+        model_audit(spark, sf), model, build, new_folder(spark, "silver"), batch_id=YEAR, started="2026-01-01 01:00:00", finished=LOAD_TS
+    )
+
+
+# The model's watermark, and what the load writes: bronze rows above it.
+CTES["m1_mark"] = """
+SELECT coalesce((SELECT inc_load_ts FROM audit WHERE model_id = 'm1' AND batch_id = 2000),
+                (SELECT arg_max(inc_load_ts, batch_id) FROM audit WHERE model_id = 'm1'), TIMESTAMP '1900-01-01') AS mark"""
+CTES["m1_rows"] = """
+SELECT b.*, b.k IN (SELECT k FROM silver) AS known FROM bronze b WHERE src_load_ts > (SELECT mark FROM m1_mark)"""
+
+
+@query(
+    "audited_load_metrics",
+    """SELECT CAST(2000 AS DECIMAL(38,0)) AS batch_id, max(src_load_ts) AS src_load_ts, count(*) FILTER (WHERE NOT known) AS rows_inserted,
+              count(*) FILTER (WHERE known) AS rows_updated FROM m1_rows HAVING count(*) > 0""",
+    "o silver bronze runs audit m1_mark m1_rows",
+    ids=("batch_id",),
+)
+def _(spark, sf):
+    """Metrics taken while the table was written, without a read of it."""
+    return audited(spark, sf).metrics
+
+
+@query(
+    "audited_load",
+    f"""SELECT * FROM audit WHERE NOT (model_id = 'm1' AND batch_id = 2000) UNION ALL
+        SELECT 'm1', 'g', coalesce((SELECT max(src_load_ts) FROM m1_rows), (SELECT nullif(mark, TIMESTAMP '1900-01-01') FROM m1_mark)), 'shop', 2000,
+               'completed', (SELECT count(*) FROM m1_rows WHERE NOT known), (SELECT count(*) FROM m1_rows WHERE known),
+               TIMESTAMP '2026-01-01 01:00:00', {SQL_LOAD_TS}""",
+    "o silver bronze runs audit m1_mark m1_rows",
+    ids=("batch_id",),
+)
+def _(spark, sf):
+    """The model audit after the load."""
+    return audited(spark, sf).audit

@@ -17,7 +17,10 @@ from checks.registry import (
     table,
     ts,
 )
-from millrace.plans.loads import file_to_bronze, file_to_stage
+from pyspark.errors import StreamingQueryException
+
+from millrace.plans.loads import file_to_bronze, file_to_bronze_once, file_to_stage
+from millrace.operators.merge import conform
 from millrace.session import new_folder
 from millrace.sources.files import (
     infer_file_schema,
@@ -25,7 +28,9 @@ from millrace.sources.files import (
     load_files_replace,
     load_files_with_mapping,
 )
+from millrace.sources.inference import clashing_files, file_columns, merged_columns
 from millrace.streaming.ingest import ingest_new_files
+from millrace.streaming.ledger import OnceTable
 
 TYPED = T.StructType().add("c_custkey", "integer").add("c_name", "string").add("c_acctbal", "double")
 
@@ -60,9 +65,38 @@ def new_rows(columns: str) -> str:
 ALL_COLUMNS = "CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_acctbal"
 
 
-@query("infer_file_schema", f"SELECT {ALL_COLUMNS} FROM customer")
+@query("infer_file_schema", "SELECT * REPLACE (CAST(c_custkey AS INTEGER) AS c_custkey, CAST(c_nationkey AS INTEGER) AS c_nationkey) FROM customer")
+def _(spark, sf):
+    return infer_file_schema(spark, csv_files(spark, table(spark, sf, "customer")))
+
+
+def two_layouts(spark, sf) -> str:
+    """All columns of the customers in several files, and suppliers in one file among them."""
+    path = csv_files(spark, table(spark, sf, "customer").repartition(3))
+    table(spark, sf, "supplier").coalesce(1).write.mode("append").option("header", True).csv(path)
+    return path
+
+
+@query(
+    "infer_file_schema_columns",
+    """SELECT position, name, type, 3 AS files, (SELECT count(*) FROM customer) AS rows
+       FROM (VALUES (0, 'c_custkey', 'int'), (1, 'c_name', 'string'), (2, 'c_nationkey', 'int'), (3, 'c_acctbal', 'double'),
+             (4, 'c_mktsegment', 'string')) v(position, name, type)""",
+)
+def _(spark, sf):
+    """The schema of the files that agree, from one aggregate over all of them."""
+    return merged_columns(file_columns(spark, two_layouts(spark, sf)))
+
+
+@query(
+    "infer_file_schema_clashes",
+    "SELECT 's_suppkey,s_name,s_nationkey,s_acctbal' AS columns, count(*) AS rows FROM supplier",
+)
 def _(spark, sf):
-    return infer_file_schema(spark, csv_files(spark, customers(spark, sf)))
+    """The file with another header, and what it holds."""
+    columns = file_columns(spark, two_layouts(spark, sf))
+    rows = columns.groupBy("file").agg(F.max("rows").alias("rows"))
+    return clashing_files(columns).join(rows, "file").select(F.array_join("columns", ",").alias("columns"), "rows")
 
 
 # Accounts above 9000 are written as text that is no number: bad records.
@@ -131,3 +165,56 @@ def _(spark, sf):
     return file_to_bronze(
         spark, path, target, header=False, mapping=mapping, truncate=True, **STAMPS
     )
+
+
+class Failing(OnceTable):
+    """A table whose second batch fails once, after it was entered: the stream will replay it."""
+
+    failed = False
+
+    def enter(self, stream, batch):
+        super().enter(stream, batch)
+        if batch == 1 and not self.failed:
+            self.failed = True
+            raise RuntimeError("lost after the entry, before the stream's commit")
+
+
+@query("file_to_bronze_once", new_rows(ALL_COLUMNS), ids=("batch_id",))
+def _(spark, sf):
+    """Two deliveries. The second run dies, the third replays its batch and finds it entered."""
+    target = bronze_customers(spark, sf)
+    inbox, checkpoint = new_folder(spark, "inbox"), new_folder(spark, "offsets")
+    once = Failing(spark, new_folder(spark, "bronze"), target.schema)
+    parts = customers(spark, sf)
+
+    def run():
+        mapping = {"_c0": "c_custkey", "_c1": "c_name", "_c2": "c_acctbal"}
+        positions = T.StructType([T.StructField(c, TYPED[n].dataType) for c, n in mapping.items()])
+        return file_to_bronze_once(
+            spark, inbox, None, once, positions, checkpoint, header=False, mapping=mapping, **STAMPS
+        )
+
+    parts.where("c_acctbal < 0").write.csv(inbox)
+    run()
+    parts.where("c_acctbal >= 0").write.mode("append").csv(inbox)
+    try:
+        run()
+    except StreamingQueryException:
+        pass
+    return run()
+
+
+@query(
+    "file_to_bronze_once_ledger",
+    """SELECT 'files' AS _stream, CAST(0 AS BIGINT) AS _batch, count(*) AS rows FROM customer WHERE c_acctbal < 0
+       UNION ALL SELECT 'files', 1, count(*) FROM customer WHERE c_acctbal >= 0""",
+)
+def _(spark, sf):
+    """What the ledger has after two batches, each handed over twice."""
+    target = bronze_customers(spark, sf)
+    once = OnceTable(spark, new_folder(spark, "bronze"), target.schema)
+    rows = conform(customers(spark, sf), target.schema)
+    for number, part in enumerate((rows.where("c_acctbal < 0"), rows.where("c_acctbal >= 0"))):
+        for _ in range(2):
+            once.append_once(part, "files", number)
+    return once.ledger()

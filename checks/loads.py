@@ -15,6 +15,7 @@ from checks.quality import (
     IDS,
     LINE_KEY,
     issue_sql,
+    recorded_sql,
     DUPLICATES,
     NULLS,
     NAMES as LINE_NAMES,
@@ -25,6 +26,8 @@ from checks.registry import (
     OLD_BATCH,
     OLD_TS,
     SQL_BATCH,
+    SQL_OLD_BATCH,
+    SQL_OLD_TS,
     SQL_LOAD_TS,
     SQL_OLD_STAMPS,
     SQL_STAMPS,
@@ -40,6 +43,8 @@ from checks.registry import (
     table,
     ts,
 )
+from millrace.operators.journal import read_segments
+from millrace.session import new_folder
 from millrace.plans.loads import (
     bronze_to_silver,
     delete_insert_to_silver,
@@ -118,6 +123,39 @@ def _(spark, sf):
     return journal_to_bronze(before, segments, read, "events", since="2024-01-07", **STAMPS)
 
 
+def written_segments(spark, sf, days: int) -> dict[str, str]:
+    """The journal in segments of that many days, a folder each; the names come with it."""
+    base = new_folder(spark, "segments")
+    number = F.floor((F.dayofmonth("seen_at") - 1) / days).cast("string")
+    rows = journal(spark, sf).withColumn("segment", F.concat(F.lit("EVENTS_"), number))
+    names = [r["segment"] for r in rows.select("segment").distinct().collect()]
+    rows.write.partitionBy("segment").parquet(base)
+    return {n: f"{base}/segment={n}" for n in names}
+
+
+@query(
+    "journal_to_bronze_one_scan",
+    f"""SELECT {JOURNAL_COLUMNS}, {SQL_OLD_STAMPS} FROM five_days WHERE seen_at <= TIMESTAMP '2024-01-07'
+        UNION ALL SELECT {JOURNAL_COLUMNS}, {SQL_STAMPS} FROM five_days WHERE seen_at > TIMESTAMP '2024-01-07'""",
+    "journal five_days",
+    ids=JOURNAL_IDS,
+)
+def _(spark, sf):
+    """All segments above the watermark by one scan of their folders."""
+    folders = written_segments(spark, sf, 5)
+    parts = five_days(spark, sf)
+    segments = parts.groupBy(F.col("segment").alias("table_name")).agg(F.min("seen_at").alias("created"))
+    schema = journal(spark, sf).schema
+
+    def scan(names):
+        return read_segments(spark, {n: folders[n] for n in names}, schema)
+
+    before = journal_to_bronze(
+        empty_journal(spark), segments, None, "events", load_type="full", scan=scan, batch_id=OLD_BATCH, load_ts=OLD_TS
+    )
+    return journal_to_bronze(before, segments, None, "events", since="2024-01-07", scan=scan, **STAMPS)
+
+
 # Silver keeps the newest order per customer.
 CTES["latest_before"] = f"""
 SELECT c, max(k) AS k, any_value(src_load_ts) AS src_load_ts, {SQL_OLD_STAMPS} FROM (
@@ -161,6 +199,83 @@ def _(spark, sf):
     ).target
 
 
+# Two loads in a row. The first sees orders up to mid-1999 and customers with one since 1998, the second
+# all orders and customers with one since 2000.
+def upserted_sql(before: str, until: str, since: str, batch: str, load: str) -> str:
+    return f"""
+  SELECT c, k, src_load_ts, {batch} AS batch_id, {load} AS etl_load_ts, {load} AS etl_updt_ts, 'new' AS o FROM (
+    SELECT c, max(k) AS k, any_value(src_load_ts) AS src_load_ts FROM (SELECT * FROM o WHERE src_load_ts < TIMESTAMP '{until}'
+    AND src_load_ts > TIMESTAMP '{since}' QUALIFY src_load_ts = max(src_load_ts) OVER (PARTITION BY c)) GROUP BY c)
+  UNION ALL SELECT b.*, 'kept' FROM {before} b WHERE c NOT IN (SELECT c FROM o WHERE src_load_ts < TIMESTAMP '{until}'
+    AND src_load_ts > TIMESTAMP '{since}')"""
+
+
+CTES["before"] = f"""
+SELECT c, max(k) AS k, any_value(src_load_ts) AS src_load_ts, {SQL_OLD_STAMPS} FROM (
+    SELECT * FROM o WHERE src_load_ts < TIMESTAMP '1998-01-01'
+    QUALIFY src_load_ts = max(src_load_ts) OVER (PARTITION BY c)) GROUP BY c"""
+CTES["first_merge"] = upserted_sql("before", "1999-06-01", "1997-06-01", SQL_OLD_BATCH, SQL_OLD_TS)
+CTES["first_state"] = """SELECT * EXCLUDE (o) FROM first_merge WHERE c IN
+    (SELECT c FROM o WHERE src_load_ts >= TIMESTAMP '1998-06-01' AND src_load_ts < TIMESTAMP '1999-06-01')"""
+CTES["second_merge"] = upserted_sql("first_state", "2100-01-01", "1999-06-01", SQL_BATCH, SQL_LOAD_TS)
+CTES["second_alive"] = "SELECT DISTINCT c FROM o WHERE src_load_ts >= TIMESTAMP '2000-06-01'"
+TWO_LOADS = "o before first_merge first_state second_merge second_alive"
+
+
+def two_loads(spark, sf):
+    orders = all_orders(spark, sf).select("c", "k", "src_load_ts")
+    at = F.col("src_load_ts")
+    state = orders.where(at < ts("1998-01-01")).groupBy("c").agg(F.max(F.struct("src_load_ts", "k")).alias("m"))
+    state = stamped(state.select("c", "m.k", "m.src_load_ts"), OLD_BATCH, OLD_TS)
+    how = {"ts_col": "src_load_ts", "tie_break": ["k"]}
+    early = orders.where(at < ts("1999-06-01"))
+    first = bronze_to_silver(
+        state, early, ["c"], since="1997-06-01", stage_snapshot=early.where(at >= ts("1998-06-01")).select("c"),
+        save_to=new_folder(spark, "silver"), batch_id=OLD_BATCH, load_ts=OLD_TS, **how,
+    )
+    return bronze_to_silver(
+        first.target, orders, ["c"], since="1999-06-01", stage_snapshot=orders.where(at >= ts("2000-06-01")).select("c"),
+        save_to=new_folder(spark, "silver"), delete_history=first.history, **STAMPS, **how,
+    )
+
+
+@query(
+    "bronze_to_silver_written_once",
+    "SELECT * EXCLUDE (o) FROM second_merge WHERE c IN (SELECT c FROM second_alive)",
+    TWO_LOADS,
+    ids=("batch_id",),
+)
+def _(spark, sf):
+    """The target after two loads, each computed and written once with the rows that go."""
+    return two_loads(spark, sf).target
+
+
+@query(
+    "bronze_to_silver_history",
+    f"""SELECT c, k, (SELECT max(src_load_ts) FROM first_merge) AS src_load_ts, {SQL_OLD_STAMPS} FROM first_merge
+          WHERE c NOT IN (SELECT c FROM first_state)
+        UNION ALL SELECT c, k, (SELECT max(src_load_ts) FROM second_merge), (SELECT max(batch_id) FROM second_merge),
+          {SQL_LOAD_TS}, {SQL_LOAD_TS} FROM second_merge WHERE c NOT IN (SELECT c FROM second_alive)""",
+    TWO_LOADS,
+    ids=("batch_id",),
+)
+def _(spark, sf):
+    """The lasting delete table after both loads."""
+    return two_loads(spark, sf).history
+
+
+@query(
+    "bronze_to_silver_outcomes",
+    """SELECT CASE WHEN c NOT IN (SELECT c FROM second_alive) THEN 'deleted' WHEN o = 'kept' THEN 'kept'
+              WHEN c IN (SELECT c FROM first_state) THEN 'updated' ELSE 'inserted' END AS outcome, count(*) AS rows
+       FROM second_merge GROUP BY 1""",
+    TWO_LOADS,
+)
+def _(spark, sf):
+    """How many rows the second load kept, updated, inserted and deleted."""
+    return two_loads(spark, sf).outcomes
+
+
 # Users as silver rows keyed by pk, upserted from the newest journal image.
 CTES["users_before"] = f"""
 SELECT CAST(user_id AS DECIMAL(38,0)) AS pk, min(event_id) AS first_event, TIMESTAMP '2024-01-05' AS src_load_ts,
@@ -301,14 +416,13 @@ CTES["recent_issues"] = (
 
 @query(
     "prevalidated_to_silver_check",
-    f""", recorded AS (
-            SELECT n.* REPLACE (coalesce(o.etl_load_ts, n.etl_load_ts) AS etl_load_ts) FROM recent_issues n
-            LEFT JOIN old_issues o USING (model_id, model_grp, key_column, validation_type, src_load_ts)
-            UNION ALL SELECT o.* FROM old_issues o
-            ANTI JOIN recent_issues n USING (model_id, model_grp, key_column, validation_type, src_load_ts))
-       SELECT * REPLACE (CASE WHEN batch_id < (SELECT max(batch_id) FROM recent_issues) AND key_column IN
-           (SELECT {LINE_KEY} FROM lines_after)
-           THEN 'Y' ELSE success_flg END AS success_flg) FROM recorded""",
+    f""", recorded AS ({recorded_sql("recent_issues")}),
+         sound AS (SELECT DISTINCT {LINE_KEY} AS key_column FROM lines_after),
+         newest AS (SELECT max(batch_id) AS batch_id FROM recent_issues)
+       SELECT r.model_id, r.model_grp, r.key_column, r.validation_type, r.issue_record_count, r.json_value,
+              CASE WHEN r.batch_id < n.batch_id AND s.key_column IS NOT NULL THEN 'Y' ELSE r.success_flg END AS success_flg,
+              r.batch_id, r.src_load_ts, r.etl_load_ts, r.etl_updt_ts
+       FROM recorded r CROSS JOIN newest n LEFT JOIN sound s ON s.key_column = r.key_column""",
     "lines line_state recent_lines good_lines lines_after early_lines old_issues recent_issues",
     ids=IDS,
 )

@@ -120,13 +120,19 @@ def old_issues(spark, sf):
     return issues(lines(spark, sf).where(F.col("src_load_ts") < ts("2000-01-01")), OLD)
 
 
+def recorded_sql(new: str) -> str:
+    """Old and new issues by their key: the new row if there is one, with the old one's load time."""
+    return f"""
+    SELECT model_id, model_grp, key_column, validation_type, issue_record_count, json_value, success_flg, batch_id, src_load_ts,
+           coalesce(max(CASE WHEN is_new = 0 THEN etl_load_ts END) OVER same, etl_load_ts) AS etl_load_ts, etl_updt_ts
+    FROM (SELECT *, 1 AS is_new FROM {new} UNION ALL SELECT *, 0 FROM old_issues)
+    QUALIFY is_new = max(is_new) OVER same
+    WINDOW same AS (PARTITION BY model_id, model_grp, key_column, validation_type, src_load_ts)"""
+
+
 @query(
     "record_issues",
-    """SELECT n.* REPLACE (coalesce(o.etl_load_ts, n.etl_load_ts) AS etl_load_ts) FROM new_issues n
-       LEFT JOIN old_issues o USING (model_id, model_grp, key_column, validation_type, src_load_ts)
-       UNION ALL
-       SELECT o.* FROM old_issues o
-       ANTI JOIN new_issues n USING (model_id, model_grp, key_column, validation_type, src_load_ts)""",
+    recorded_sql("new_issues"),
     "lines early_lines old_issues new_issues",
     ids=IDS,
 )

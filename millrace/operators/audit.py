@@ -6,7 +6,7 @@ per model is one join over all of them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import BATCH_TYPE, as_batch, as_ts, batch_id_from_ts
@@ -156,6 +156,35 @@ def load_metrics(target: DataFrame, batch_id=None, ts_col: str = "src_load_ts")
     )
 
 
+METRICS = f"batch_id {BATCH_TYPE.simpleString()}, src_load_ts timestamp_ntz, rows_inserted bigint, rows_updated bigint"
+
+
+class WrittenMetrics:
+    """``load_metrics`` of one batch, taken from the rows while they are written.
+
+    Pass ``observe`` to ``save_state``. Once that returns, ``frame`` has the metrics as one
+    row, or none if the batch wrote no row; the table isn't read for them.
+    """
+
+    def __init__(self, batch_id, ts_col: str = "src_load_ts"):
+        self.batch_id = batch_id
+        self._seen = Observation()
+        mine = F.col("batch_id") == as_batch(batch_id)
+        load, update = F.col("etl_load_ts"), F.col("etl_updt_ts")
+        self.observe = self._seen, [
+            F.count_if(mine).alias("rows"),
+            F.max(F.when(mine, as_ts(F.col(ts_col)))).alias("src_load_ts"),
+            F.count_if(mine & (load == update)).alias("rows_inserted"),
+            F.count_if(mine & (load < update)).alias("rows_updated"),
+        ]
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        seen = self._seen.get
+        row = (str(self.batch_id), seen["src_load_ts"], seen["rows_inserted"], seen["rows_updated"])
+        rows = spark.createDataFrame([row] if seen["rows"] else [], METRICS.replace(BATCH_TYPE.simpleString(), "string", 1))
+        return rows.withColumn("batch_id", as_batch(F.col("batch_id")))
+
+
 def full_load_metrics(target: DataFrame) -> DataFrame:
     """Metrics of a replaced table: every row counts as inserted."""
     return target.agg(

@@ -18,7 +18,7 @@ from millrace.operators.joins import (
     semi_exists,
 )
 from millrace.operators.latest import latest_by_rank
-from millrace.operators.merge import merge_update_subset
+from millrace.operators.merge import OUTCOME, merge_update_subset
 
 
 def capture_missing_rows(
@@ -43,6 +43,23 @@ def capture_missing_rows(
     ).select(*target.columns)
 
 
+def captured_outcomes(outcomes: DataFrame, load_ts) -> DataFrame:
+    """What ``capture_missing_rows`` gives, from the outcomes of a merge: no further join with the snapshot."""
+    columns = [c for c in outcomes.columns if c != OUTCOME]
+    newest = outcomes.agg(
+        F.max("batch_id").alias("_batch_id"), F.max("src_load_ts").alias("_src_load_ts")
+    )
+    gone = cross_join_scalar(outcomes.where(F.col(OUTCOME).isin("deleted", "unaddressed")), newest)
+    return gone.withColumns(
+        {
+            "batch_id": F.col("_batch_id"),
+            "src_load_ts": F.col("_src_load_ts"),
+            "etl_load_ts": as_ts(load_ts),
+            "etl_updt_ts": as_ts(load_ts),
+        }
+    ).select(*columns)
+
+
 def apply_hard_delete(
     target: DataFrame, deleted: DataFrame, on: On, residual: Column | None = None
 ) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.columns import JOURNAL_ENVELOPE, as_ts, pack_attributes, stamp_audit
 from millrace.operators.filters import incremental_filter, key_present, name_filter
@@ -52,6 +55,39 @@ def segments_above(
     return named.where(created.isNull() | (created >= F.coalesce(before, mark)))
 
 
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
+
+
+class Scan(NamedTuple):
+    """Segments read together: their names, and their rows with the name in ``src_journal_tbl``."""
+
+    names: list[str]
+    rows: DataFrame
+
+
+def read_segments(
+    spark: SparkSession, folders: Mapping[str, str], schema: T.StructType | str | None = None, fmt: str = "parquet"
+) -> Scan:
+    """All segments in one scan, whatever their number.
+
+    ``folders`` has a segment's folder by its name, with the files directly in it. A row's segment
+    is the folder of the file it comes from, so the plan has one scan and one join with the list of names. Columns that only some
+    segments have are NULL in the others if ``schema`` names them.
+    """
+    reader = spark.read.format(fmt)
+    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
+    rows = reader.load(list(folders.values())).withColumn("_file", F.col("_metadata.file_path"))
+    # File paths are URLs; of those and of the folders as given only the path counts.
+    path = F.url_decode(F.regexp_replace("_file", "[+]", "%2B"))
+    folder = F.regexp_replace(F.regexp_replace(path, _SCHEME, "/"), "/[^/]*$", "")
+    own = [(re.sub(_SCHEME, "/", f).rstrip("/"), name) for name, f in folders.items()]
+    names = F.broadcast(spark.createDataFrame(own, "_folder string, src_journal_tbl string"))
+    unknown = F.raise_error(F.concat(F.lit("no segment has the file "), F.col("_file")))
+    named = rows.withColumn("_folder", folder).join(names, "_folder", "left")
+    named = named.withColumn("src_journal_tbl", F.coalesce("src_journal_tbl", unknown))
+    return Scan(list(folders), named.drop("_file", "_folder"))
+
+
 def union_journals(
     segments: Sequence[tuple[str, DataFrame]],
     key: str = "primary_key__pk",
@@ -70,7 +106,7 @@ def union_journals(
 
 def journal_reload(
     target: DataFrame,
-    segments: Sequence[tuple[str, DataFrame]],
+    segments: Sequence[tuple[str, DataFrame]] | Scan,
     *,
     load_type: str = "incremental",
     since=None,
@@ -84,16 +120,19 @@ def journal_reload(
 
     A full load starts empty; otherwise everything above the watermark is
     replaced, with ``only_listed`` everything of these segments. Attributes are packed to JSON, the envelope stays as columns.
+    ``segments`` are frames by name, or the names and one frame of all, as ``read_segments`` gives them.
     """
-    rows = union_journals(segments, key, ts_col, since)
+    if isinstance(segments, Scan):
+        names, rows = segments.names, incremental_filter(key_present(segments.rows, [key]), ts_col, since)
+    else:
+        names, rows = [name for name, _ in segments], union_journals(segments, key, ts_col, since)
     packed = pack_attributes(rows, [*JOURNAL_ENVELOPE, "src_journal_tbl"])
     stamped = stamp_audit(packed, batch_id=batch_id, load_ts=load_ts, src_load_ts=F.col("seen_at"))
     if load_type == "full":
         return conform(stamped, target.schema)
     if not only_listed:
         return delete_insert_by_watermark(target, stamped, ts_col, since)
-    names = [name.upper() for name, _ in segments]
-    listed = F.coalesce(F.upper("src_journal_tbl").isin(names), F.lit(False))
+    listed = F.coalesce(F.upper("src_journal_tbl").isin([n.upper() for n in names]), F.lit(False))
     reloaded = delete_insert_by_watermark(target.where(listed), stamped, ts_col, since)
     return target.where(~listed).unionByName(reloaded)
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,6 +148,48 @@ def merge_upsert(
     )
 
 
+OUTCOME = "_outcome"
+
+
+def merge_outcomes(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    alive: DataFrame | None = None,
+    *,
+    preserve_load_ts: bool = False,
+    source_unique: bool = False,
+) -> DataFrame:
+    """``merge_upsert`` and the deletes of a snapshot in one frame that tells what became of each row.
+
+    ``_outcome`` is ``kept``, ``updated`` or ``inserted``; with ``alive``, the keys the source still
+    has, ``deleted`` for rows whose key isn't among them, and ``unaddressed`` for
+    rows with a NULL in their key, which are missing there but can't be deleted.
+    """
+    marked = target.withColumn(OUTCOME, F.lit("kept"))
+    new = source.withColumn(OUTCOME, F.lit("inserted"))
+    fixed = {*keys, "etl_load_ts"} if preserve_load_ts else set(keys)
+    update = {c: F.col(f"s.`{c}`") for c in target.columns if c not in fixed and c in source.columns}
+    merged = _merge(
+        marked,
+        new,
+        _plain_keys(keys),
+        _plain_keys(keys),
+        update | {OUTCOME: F.lit("updated")},
+        insert_cols=None,
+        target_condition=None,
+        source_unique=source_unique,
+    )
+    if alive is None:
+        return merged
+    held = distinct_keys(alive, keys).withColumnsRenamed({k: f"_d_{k}" for k in keys})
+    match = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_d_{k}") for k in keys])
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    joined = merged.join(held.withColumn("_alive", F.lit(True)), match, "left")
+    outcome = F.when(no_key, "unaddressed").when(F.col("_alive").isNull(), "deleted").otherwise(F.col(OUTCOME))
+    return joined.withColumn(OUTCOME, outcome).select(*target.columns, OUTCOME)
+
+
 def merge_configurable(
     target: DataFrame,
     source: DataFrame,
@@ -283,6 +326,7 @@ __all__ = [
     "full_replace",
     "insert_when_absent",
     "merge_configurable",
+    "merge_outcomes",
     "merge_update_subset",
     "merge_upsert",
 ]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import cached_property
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,29 +22,41 @@ from millrace.functions.columns import (
     as_batch,
     as_ts,
     hash_key,
+    rename_by_mapping,
     stamp_audit,
 )
+from millrace.operators.audit import (
+    MODEL_KEYS,
+    WrittenMetrics,
+    finish_models,
+    init_model_audit,
+    model_state,
+    start_models,
+)
 from millrace.operators.deletes import (
     apply_hard_delete,
     capture_deleted_keys,
     capture_missing_rows,
+    captured_outcomes,
     deleted_since_written,
     logged_keys,
     newest_deletes,
     surviving_rows,
 )
 from millrace.operators.filters import delete_events, incremental_filter
-from millrace.operators.journal import journal_reload, newest_journal_segments, segments_above
+from millrace.operators.journal import Scan, journal_reload, newest_journal_segments, segments_above
 from millrace.operators.joins import anti_not_exists, semi_exists
 from millrace.operators.latest import latest_by_max, latest_by_rank
-from millrace.operators.numbering import join_null_safe
 from millrace.operators.merge import (
+    OUTCOME,
     conform,
     delete_insert_by_key,
     delete_insert_by_watermark,
     full_replace,
+    merge_outcomes,
     merge_upsert,
 )
+from millrace.operators.numbering import join_null_safe
 from millrace.operators.quality import (
     column_inventory,
     exclude_bad_keys,
@@ -64,16 +77,19 @@ from millrace.operators.scd2 import (
 )
 from millrace.session import stage
 from millrace.sources.files import (
+    by_name,
     load_files_by_name,
     load_files_replace,
     load_files_with_mapping,
 )
+from millrace.sources.sinks import save_state
+from millrace.streaming.ledger import OnceTable, consume_files
 
 
 class SilverLoad:
     """Next state of a silver table (``target``) and of what the load also maintains.
 
-    The other tables (``deleted``, ``log``, ``check``, ``drift``) are frames too,
+    The other tables (``deleted``, ``history``, ``log``, ``check``, ``drift``, ..) are frames too,
     built when first asked for; None where a load does not maintain them.
     """
 
@@ -89,6 +105,14 @@ class SilverLoad:
     def deleted(self) -> DataFrame | None:
         return self._other("deleted")
 
+    @cached_property
+    def history(self) -> DataFrame | None:
+        return self._other("history")
+
+    @cached_property
+    def outcomes(self) -> DataFrame | None:
+        return self._other("outcomes")
+
     @cached_property
     def log(self) -> DataFrame | None:
         return self._other("log")
@@ -127,6 +151,39 @@ def file_to_bronze(
     return load_files_with_mapping(spark, path, mapping or {}, target, **kwargs)
 
 
+def file_to_bronze_once(
+    spark: SparkSession,
+    in_dir: str,
+    archive_dir: str | None,
+    table: OnceTable,
+    file_schema: T.StructType,
+    checkpoint: str,
+    *,
+    header: bool,
+    mapping: dict[str, str] | None = None,
+    batch_id,
+    load_ts,
+    **options,
+) -> DataFrame:
+    """``file_to_bronze`` for the files that arrived since the last run; returns the table.
+
+    Each file is appended once, also if a run fails at any point and is started
+    again. Files with a header load by name, others through the mapping; file columns
+    outside both are dropped, table columns outside the mapping stay NULL.
+    """
+
+    def land(rows: DataFrame) -> DataFrame:
+        named = by_name(rows, table.schema.names) if header else rename_by_mapping(rows, mapping or {})
+        stamped = stamp_audit(named, batch_id=batch_id, load_ts=load_ts, src_load_ts=load_ts)
+        return conform(stamped, table.schema)
+
+    query = consume_files(
+        spark, in_dir, archive_dir, file_schema, checkpoint, table, land, header=header, **options
+    )
+    query.awaitTermination()
+    return table.rows()
+
+
 def stage_to_bronze(
     target: DataFrame,
     source: DataFrame,
@@ -150,16 +207,20 @@ def stage_to_bronze(
 def journal_to_bronze(
     target: DataFrame,
     segments: DataFrame,
-    read_segment: Callable[[str], DataFrame],
+    read_segment: Callable[[str], DataFrame] | None,
     table: str,
     *,
     k: int | None = None,
     load_type: str = "incremental",
     since=None,
+    scan: Callable[[list[str]], Scan] | None = None,
     **kwargs,
 ) -> DataFrame:
     """Reload from all journal segments that can hold rows above the watermark.
 
+    ``read_segment`` reads one by name, a branch of the plan each; ``scan`` reads all
+    together (``read_segments``), a plan of one size for any number of them.
+
     ``k`` takes the k newest ones instead; the target's rows of other segments
     then stay, above the watermark too. Only segment names come to the driver.
     """
@@ -170,7 +231,7 @@ def journal_to_bronze(
     names = sorted(row["table_name"] for row in wanted.select("table_name").collect())
     if not names:
         return target
-    read = [(name, read_segment(name)) for name in names]
+    read = scan(names) if scan is not None else [(name, read_segment(name)) for name in names]
     return journal_reload(
         target, read, load_type=load_type, since=since, only_listed=k is not None, **kwargs
     )
@@ -208,23 +269,34 @@ def bronze_to_silver(
     tie_break: Sequence[str] | None = None,
     preserve_load_ts: bool = False,
     stage_increment: bool = True,
+    save_to: str | None = None,
+    delete_history: DataFrame | None = None,
 ) -> SilverLoad:
     """Upsert the newest version of every key changed since the watermark.
 
     Several versions at a key's newest time make the upsert fail, unless
     ``tie_break`` columns choose one. With ``stage_snapshot`` (the keys alive at
     the source) rows missing there are captured in ``deleted`` and removed.
+
+    With ``save_to``, a new path, the merge is computed and written once, in folders by what became of
+    each row: ``target`` reads those that stay, ``deleted`` those that are gone, ``outcomes`` how many there
+    are of each. ``history`` is ``delete_history``, the lasting delete table, and this load's ``deleted``.
     """
     aligned = align_to_target(source, target.columns, BOOKKEEPING)
     newest = _latest(incremental_filter(aligned, ts_col, since), keys, ts_col, tie_break)
     stamped = _increment(newest, stage_increment, batch_id, load_ts)
-    merged = merge_upsert(
-        target,
-        stamped,
-        keys,
-        preserve_load_ts=preserve_load_ts,
-        source_unique=tie_break is not None,
-    )
+    how = {"preserve_load_ts": preserve_load_ts, "source_unique": tie_break is not None}
+    if save_to is not None:
+        merged = merge_outcomes(target, stamped, keys, stage_snapshot, **how)
+        written = save_state(merged, save_to, folders=[OUTCOME])
+        deleted = captured_outcomes(written, load_ts)
+        return SilverLoad(
+            written.where(F.col(OUTCOME) != "deleted").select(*target.columns),
+            deleted=lambda: deleted,
+            history=lambda: deleted if delete_history is None else delete_history.unionByName(deleted),
+            outcomes=lambda: written.groupBy(F.col(OUTCOME).alias("outcome")).agg(F.count(F.lit(1)).alias("rows")),
+        )
+    merged = merge_upsert(target, stamped, keys, **how)
     if stage_snapshot is None:
         return SilverLoad(merged)
     return SilverLoad(
@@ -390,6 +462,42 @@ def delete_insert_to_silver(
     return delete_insert_by_key(target, source, keys, batch_id=batch_id, load_ts=load_ts)
 
 
+class AuditedLoad(NamedTuple):
+    """The saved next state, the model audit after the load, and the load's metrics."""
+
+    target: DataFrame
+    audit: DataFrame
+    metrics: DataFrame
+
+
+def audited_load(
+    audit: DataFrame,
+    model: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
+    path: str,
+    *,
+    batch_id,
+    started,
+    finished,
+    ts_col: str = "src_load_ts",
+    **saving,
+) -> AuditedLoad:
+    """Start a model's audit row, build and save its next state, finish the row with the metrics.
+
+    ``model`` is one row of model keys. ``build`` gets the model's state in the audit
+    (watermark, batch, status) and returns the next state of its table, written to the new
+    ``path``. The metrics come from the rows as they are written. A batch that wrote no row
+    completes with no counts and the watermark it had.
+    """
+    running = start_models(init_model_audit(audit, model, batch_id), model, batch_id, started)
+    taken = WrittenMetrics(batch_id, ts_col)
+    target = save_state(build(model_state(running, model, batch_id)), path, observe=taken.observe, **saving)
+    metrics = taken.frame(target.sparkSession)
+    named = model.select(*MODEL_KEYS, as_batch(batch_id).alias("batch_id")).join(metrics, "batch_id", "left")
+    counts = {c: F.coalesce(c, F.lit(0)) for c in ("rows_inserted", "rows_updated")}
+    return AuditedLoad(target, finish_models(running, named.withColumns(counts), finished), metrics)
+
+
 # Changes of type-2 versions up to this number are broadcast; a row has some hundred bytes.
 BROADCAST_CHANGES = 500_000
 
@@ -476,10 +584,13 @@ def scd2_load(
 
 
 __all__ = [
+    "AuditedLoad",
     "SilverLoad",
+    "audited_load",
     "bronze_to_silver",
     "delete_insert_to_silver",
     "file_to_bronze",
+    "file_to_bronze_once",
     "file_to_stage",
     "journal_to_bronze",
     "prevalidated_to_silver",

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.columns import BOOKKEEPING_WITH_SOURCE_TS, rename_by_mapping, stamp_audit
 from millrace.operators.merge import append_load, conform
+from millrace.sources.inference import csv_schema
 
 _CORRUPT = "_corrupt_record"
 
@@ -30,11 +31,14 @@ def infer_file_schema(
     """Files as a typed frame, columns in file order.
 
     CSV and JSON types are inferred in an extra pass over the files; pass
-    ``schema`` (or ``samplingRatio``) to avoid it on large inputs.
+    ``schema`` (or ``samplingRatio`` for JSON) to avoid it on large inputs. For CSV that pass is one
+    aggregate (``inference.file_columns``), which also tells files of another header apart.
     """
+    if fmt == "csv" and schema is None:
+        schema = csv_schema(spark, path, header, **options)
     reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.options(header=header, inferSchema=schema is None, **CHECK_HEADERS)
+        reader = reader.options(header=header, **CHECK_HEADERS)
     return reader.options(**options).format(fmt).load(path)
 
 
@@ -103,6 +107,16 @@ def _land(target: DataFrame, rows: DataFrame, batch_id, load_ts, truncate: bool)
     return conform(stamped, target.schema) if truncate else append_load(target, stamped)
 
 
+def by_name(landed: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The target's columns from a frame's by name without case; bookkeeping isn't expected in files."""
+    have = {c.lower(): c for c in landed.columns}
+    wanted = [c for c in columns if c.lower() not in BOOKKEEPING_WITH_SOURCE_TS]
+    missing = [c for c in wanted if c.lower() not in have]
+    if missing:
+        raise ValueError(f"files lack target columns {missing}")
+    return landed.select([F.col(f"`{have[c.lower()]}`").alias(c) for c in wanted])
+
+
 def load_files_by_name(
     spark: SparkSession,
     path: str,
@@ -121,13 +135,7 @@ def load_files_by_name(
     the files lack is an error.
     """
     landed = infer_file_schema(spark, path, fmt, True, schema, **options)
-    have = {c.lower(): c for c in landed.columns}
-    wanted = [c for c in target.columns if c.lower() not in BOOKKEEPING_WITH_SOURCE_TS]
-    missing = [c for c in wanted if c.lower() not in have]
-    if missing:
-        raise ValueError(f"files lack target columns {missing}")
-    rows = landed.select([F.col(f"`{have[c.lower()]}`").alias(c) for c in wanted])
-    return _land(target, rows, batch_id, load_ts, truncate)
+    return _land(target, by_name(landed, target.columns), batch_id, load_ts, truncate)
 
 
 def load_files_with_mapping(

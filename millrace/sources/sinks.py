@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -14,6 +14,8 @@ def save_state(
     *,
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
+    folders: Sequence[str] = (),
+    observe: tuple[Observation, Sequence[Column]] | None = None,
 ) -> DataFrame:
     """Write the next state to a *new* path and return it read back.
 
@@ -21,17 +23,23 @@ def save_state(
     ``df``. Point readers at the new path once this returns. ``partition_by``
     first rebalances by the partition values, which AQE splits again where one
     value is large, so neither tiny files nor one huge task result; ``sort_by``
-    keeps parquet row-group statistics selective for watermark filters.
+    keeps parquet row-group statistics selective for watermark filters. ``folders`` are columns
+    of a few values: rows are dealt to their folders where they are, without a shuffle. ``observe``
+    gets its aggregates from the very rows that are written, in the writing tasks,
+    where a task that runs again counts once.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
+    schema, columns = df.schema, df.columns
+    if observe is not None:
+        df = df.observe(observe[0], *observe[1])
     writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if partition_by or folders:
+        writer = writer.partitionBy(*folders, *partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(schema).parquet(path).select(*columns)
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, column: str) -> DataFrame:

@@ -1,3 +1,4 @@
 from millrace.streaming.ingest import apply_new_files, ingest_new_files
+from millrace.streaming.ledger import OnceTable, consume_files
 
-__all__ = ["apply_new_files", "ingest_new_files"]
+__all__ = ["OnceTable", "apply_new_files", "consume_files", "ingest_new_files"]

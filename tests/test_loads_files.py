@@ -7,7 +7,10 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
-from millrace.operators.merge import merge_upsert
+from millrace.operators.audit import WrittenMetrics, load_metrics
+from millrace.operators.deletes import capture_missing_rows, captured_outcomes, surviving_rows
+from millrace.operators.journal import read_segments
+from millrace.operators.merge import OUTCOME, merge_outcomes, merge_upsert
 from millrace.plans.loads import (
     bronze_to_silver,
     file_to_bronze,
@@ -16,15 +19,17 @@ from millrace.plans.loads import (
     stage_to_bronze,
     staged_cdc_to_silver,
 )
-from millrace.session import shared_dir, stage
+from millrace.session import new_folder, shared_dir, stage
 from millrace.sources.files import (
     infer_file_schema,
     load_files_by_name,
     load_files_replace,
     load_files_with_mapping,
 )
+from millrace.sources.inference import clashing_files, csv_schema, file_columns, merged_columns
 from millrace.sources.sinks import save_partitions, save_state, touched_partitions
 from millrace.streaming.ingest import apply_new_files, ingest_new_files
+from millrace.streaming.ledger import OnceTable, consume_files
 
 T1, T2, T3, T4 = (dt.datetime(2024, 1, d) for d in (1, 2, 3, 4))
 STAMPS = {"batch_id": 2, "load_ts": T4}
@@ -51,6 +56,27 @@ def test_infer(spark, write):
     assert infer_file_schema(spark, path, schema=explicit).dtypes[0] == ("id", "bigint")
 
 
+def test_columns_of_files_in_one_aggregate(spark, write, rows, tmp_path):
+    write("in/a.csv", "id,at,day,ok,x,t\n1,2024-01-01 10:00:00,2024-01-01,true,1,\n-2147483649,2024-01-02,2024-01-31,FALSE,2.5e3,\n")
+    write("in/b.csv", "id,at,day,ok,x,t\n+7,,,,nan,\n")
+    write("in/c.csv", "id,at,day,ok,x,t\n")  # a header alone
+    write("in/d.csv", "id,day,at\n9,2024-01-01,z\n")
+    write("in/e.csv", "")
+    columns = file_columns(spark, str(tmp_path / "in"))
+    assert rows(merged_columns(columns), "position", "name", "type", "files", "rows") == [
+        (0, "id", "bigint", 3, 3), (1, "at", "timestamp", 3, 3), (2, "day", "date", 3, 3),
+        (3, "ok", "boolean", 3, 3), (4, "x", "string", 3, 3), (5, "t", "string", 3, 3),
+    ]
+    assert [r["columns"] for r in clashing_files(columns).collect()] == [["id", "day", "at"]]
+    assert columns.where("file LIKE '%c.csv'").agg({"rows": "max", "filled": "max"}).first()[:] == (0, 0)
+    no_header = csv_schema(spark, write("n/a.csv", "1,2.5\n3,x\n"), header=False)
+    assert no_header.simpleString() == "struct<_c0:int,_c1:string>"
+    odd = csv_schema(spark, write("o/a.csv", "1,b\n2,\"q,\"\"r\"\n"))  # a header that looks like a value
+    assert odd.simpleString() == "struct<1:int,b:string>"
+    text = columns._jdf.queryExecution().simpleString()
+    assert text.count("FileScan") == 1 and len([x for x in text.split() if x == "Exchange"]) <= 1
+
+
 def test_replace_skips_bad_records(spark, write, rows):
     path = write("a.csv", "ID,Amount,NAME\n1,2.5,a\n2,x,b\n3,1.0\n4,1.0,d,extra\n5,,e\nq,1,f\n")
     loaded = load_files_replace(spark, path, STAGE)
@@ -122,6 +148,49 @@ def test_ingest_reads_each_file_once_and_archives(spark, write, tmp_path, rows):
     assert "a.csv" in archived
 
 
+@pytest.mark.parametrize("point", ["before the rows", "before the entry", "after the entry"])
+def test_a_batch_that_comes_again_counts_once(spark, write, tmp_path, rows, point):
+    """The stream dies in its second batch at each point in turn; what it leaves differs."""
+
+    class Failing(OnceTable):
+        left = 2
+
+        def _fail(self, where, batch):
+            if where == point and batch == 1 and self.left:
+                self.left -= 1
+                raise RuntimeError(where)
+
+        def append_once(self, rows, stream, batch):
+            self._fail("before the rows", batch)
+            return super().append_once(rows, stream, batch)
+
+        def enter(self, stream, batch):
+            self._fail("before the entry", batch)
+            super().enter(stream, batch)
+            self._fail("after the entry", batch)
+
+    schema = T.StructType.fromDDL("id int, name string")
+    table = Failing(spark, str(tmp_path / "table"), schema)
+    inbox, checkpoint = str(tmp_path / "in"), str(tmp_path / "offsets")
+
+    def run():
+        consume_files(spark, inbox, None, schema, checkpoint, table, header=True).awaitTermination()
+
+    write("in/a.csv", "id,name\n1,x\n2,y\n")
+    run()
+    write("in/b.csv", "id,name\n2,y\n3,z\n")
+    for _ in range(2 if point != "after the entry" else 1):
+        with pytest.raises(PySparkException):
+            run()
+        # Readers see whole batches: all of the second one or nothing of it.
+        assert len(rows(table.rows())) == (4 if point == "after the entry" else 2)
+    run()
+    run()
+    assert rows(table.rows()) == [(1, "x"), (2, "y"), (2, "y"), (3, "z")]
+    assert rows(table.ledger()) == [("files", 0, 2), ("files", 1, 2)]
+    assert table.append_once(table.rows().limit(1), "other stream", 0) and table.rows().count() == 5
+
+
 def test_stream_into_merge(spark, write, tmp_path, frame, rows):
     """Each micro-batch is merged into the newest state and saved beside it."""
     states = [save_state(frame("id int, v string", (1, "old"), (9, "old")), str(tmp_path / "s0"))]
@@ -232,6 +301,64 @@ DRIFT = (
 )
 
 
+def test_outcomes_of_one_merge(frame, rows, tmp_path, spark):
+    """What the separate merge, capture and delete give, from one frame written once."""
+    columns = "k int, v string, batch_id decimal(38,0), src_load_ts timestamp_ntz, etl_load_ts timestamp_ntz, etl_updt_ts timestamp_ntz"
+    target = frame(columns, (1, "a", 1, T1, T1, T1), (2, "b", 1, T1, T1, T1), (None, "n", 1, T1, T1, T1), (4, "d", 1, T2, T1, T1))
+    source = frame(columns, (2, "B", 2, T3, T3, T3), (3, "c", 2, T3, T3, T3), (5, "e", 2, T3, T3, T3), (None, "m", 2, T3, T3, T3))
+    alive = frame("k int", (1,), (2,), (2,), (3,), (None,))
+    outcomes = merge_outcomes(target, source, ["k"], alive, preserve_load_ts=True)
+    assert rows(outcomes, "k", "v", OUTCOME) == sorted(
+        [
+            (1, "a", "kept"), (2, "B", "updated"), (3, "c", "inserted"), (4, "d", "deleted"), (5, "e", "deleted"),
+            (None, "m", "unaddressed"), (None, "n", "unaddressed"),
+        ], key=repr,
+    )
+    merged = merge_upsert(target, source, ["k"], preserve_load_ts=True)
+    assert rows(outcomes.where("_outcome <> 'deleted'").drop(OUTCOME)) == rows(surviving_rows(merged, alive, ["k"]))
+    assert rows(captured_outcomes(outcomes, T4)) == rows(capture_missing_rows(merged, alive, ["k"], T4))
+    without = merge_outcomes(target, source, ["k"])
+    assert {r[OUTCOME] for r in without.collect()} == {"kept", "updated", "inserted"}
+    saved = save_state(outcomes, str(tmp_path / "s"), folders=[OUTCOME])
+    assert rows(saved) == rows(outcomes)
+    twice = source.union(source.where("k = 2"))
+    with pytest.raises(PySparkException):
+        merge_outcomes(target, twice, ["k"], alive).collect()
+
+
+def test_metrics_of_written_rows(frame, rows, tmp_path, spark):
+    columns = "k int, batch_id decimal(38,0), src_load_ts timestamp_ntz, etl_load_ts timestamp_ntz, etl_updt_ts timestamp_ntz"
+    data = [(i, 2, T2 if i % 3 else None, T1 if i % 4 else T3, T3) for i in range(50)] + [(99, 1, T4, T1, T1), (98, None, T4, T1, T1)]
+    df = frame(columns, *data).repartition(4)
+    for name, saving in (("a", {}), ("b", {"partition_by": ["k"]}), ("c", {"sort_by": ["k"]})):
+        taken = WrittenMetrics(2)
+        saved = save_state(df, str(tmp_path / name), observe=taken.observe, **saving)
+        metrics = taken.frame(spark)
+        assert rows(metrics, "batch_id", "src_load_ts", "rows_inserted", "rows_updated") == rows(
+            load_metrics(saved, 2), "batch_id", "src_load_ts", "rows_inserted", "rows_updated"
+        )
+        assert "FileScan" not in metrics._jdf.queryExecution().toString()
+    none = WrittenMetrics(3)
+    save_state(df, str(tmp_path / "d"), observe=none.observe)
+    assert none.frame(spark).isEmpty()
+
+
+def test_segments_in_one_scan(spark, frame, rows):
+    """Rows know their segment; a plan has one size for any number of segments."""
+    base = new_folder(spark, "odd name+%")
+    sizes = []
+    for n in (3, 40):
+        for i in range(n):
+            frame("pk int, v string", (i, f"v{i}"), (None, "x")).write.mode("overwrite").parquet(f"{base}/s{i}")
+        scan = read_segments(spark, {f"EV_{i}": f"{base}/s{i}/" for i in range(n)}, "pk int, v string, w string")
+        assert rows(scan.rows.where("pk IS NOT NULL"), "pk", "v", "w", "src_journal_tbl") == sorted(
+            [(i, f"v{i}", None, f"EV_{i}") for i in range(n)], key=repr
+        )
+        assert len(scan.names) == n
+        sizes.append(scan.rows._jdf.queryExecution().toString().count("\n"))
+    assert sizes[0] == sizes[1]
+
+
 def test_staged_cdc(frame, rows):
     target = frame(
         "pk int, v string, src_load_ts timestamp_ntz, batch_id decimal(38,0), etl_load_ts timestamp_ntz, etl_updt_ts timestamp_ntz",
