@@ -126,8 +126,8 @@ def recorded_sql(new: str) -> str:
     SELECT model_id, model_grp, key_column, validation_type, issue_record_count, json_value, success_flg, batch_id, src_load_ts,
            coalesce(max(CASE WHEN is_new = 0 THEN etl_load_ts END) OVER same, etl_load_ts) AS etl_load_ts, etl_updt_ts
     FROM (SELECT *, 1 AS is_new FROM {new} UNION ALL SELECT *, 0 FROM old_issues)
-    QUALIFY is_new = max(is_new) OVER same
-    WINDOW same AS (PARTITION BY model_id, model_grp, key_column, validation_type, src_load_ts)"""
+    WINDOW same AS (PARTITION BY model_id, model_grp, key_column, validation_type, src_load_ts)
+    QUALIFY is_new = max(is_new) OVER same"""
 
 
 @query(
