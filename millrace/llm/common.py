@@ -43,11 +43,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_block(docs: DataFrame, blocks: int) -> DataFrame:
-    """Deal rows into ``blocks`` by hash of id and text, so copies and repeated ids spread."""
-    return docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-
-
 # ---------------------------------------------------------------- Arrow text buffers
 
 

@@ -1,11 +1,16 @@
 """Exact corpus counts of n-grams for every document, by exchanging sorted key blocks.
 
-Documents are dealt into blocks. Each block counts its distinct keys and sends
-them, cut by key range, to the ranges' tasks (``requests``); these add up the
+Documents are packed into blocks (``blocks``). Each block counts its distinct keys and
+sends them, cut by key range, to the ranges' tasks (``requests``); these add up the
 counts of all blocks (``totals``) and answer every block with the totals in the
 order of its keys, so no key travels back. A frequent key is one entry per
-block, whatever its number of occurrences, so no range is hot. Both block and
-range sizes follow ``spark.sql.shuffle.partitions``.
+block, whatever its number of occurrences, so no range is hot. Blocks and ranges
+are as many as the text has bytes for, not as there are partitions, and a pair of both
+that share no key sends no row: there are never more rows than distinct keys of blocks.
+
+Keys travel sorted and without their names, four to eight bytes each. As rows of a
+Spark aggregate and a join back they take some 15 bytes twice: about 110 million of them for
+0.5 GB of input, beyond the disk that four times the input allows.
 """
 
 from __future__ import annotations
@@ -13,8 +18,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-REQUESTS = "range int, block int, kind int, hi binary, lo binary, counts binary"
-TOTALS = "block int, range int, kind int, totals binary, n_keys bigint, n_all bigint"
+REQUESTS = "range int, block bigint, kind int, hi binary, lo binary, counts binary"
+TOTALS = "block bigint, range int, kind int, totals binary, n_keys bigint, n_all bigint"
+
+
+RANGE_BYTES = 16 << 20  # of text whose keys one range gets
+
+
+def n_ranges(text_bytes: int, range_bytes: int = RANGE_BYTES) -> int:
+    return text_bytes // range_bytes + 1
 
 
 def _edges(ranges: int, bits: int) -> np.ndarray:
@@ -46,11 +58,11 @@ def as_table(rows: list[dict], schema: pa.Schema) -> pa.Table:
 
 
 REQUEST_ARROW = pa.schema([
-    ("range", pa.int32()), ("block", pa.int32()), ("kind", pa.int32()),
+    ("range", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()),
     ("hi", pa.binary()), ("lo", pa.binary()), ("counts", pa.binary()),
 ])
 TOTAL_ARROW = pa.schema([
-    ("block", pa.int32()), ("range", pa.int32()), ("kind", pa.int32()),
+    ("block", pa.int64()), ("range", pa.int32()), ("kind", pa.int32()),
     ("totals", pa.binary()), ("n_keys", pa.int64()), ("n_all", pa.int64()),
 ])
 

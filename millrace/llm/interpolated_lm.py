@@ -6,10 +6,11 @@ Maximum-likelihood estimates of two orders and a uniform floor (one share for
 all unknown words) are mixed by weights that depend on how often the context
 was seen: bucket ``b`` holds contexts of 2**(b-1) to 2**b - 1 occurrences,
 bucket 0 unseen ones. The weights come from expectation-maximisation on held-out
-counts: every document of one training fold is scored by the counts of all
-training documents but itself (deleted estimation).
+counts: every training document is scored by the counts of all training documents
+but itself (deleted estimation).
 
-Counts are exact. Documents are dealt into blocks; ``llm.counts`` answers each
+Counts are exact; words and pairs are told apart by 64-bit hashes, so that of ``n`` pairs
+one in ``2**64 / n`` shares its key with another one. Documents are packed into blocks; ``llm.counts`` answers each
 block with the corpus counts of its distinct words and word pairs, so common
 words cost one entry per block. The answers are written once and read by both
 later passes, the EM statistics and the scores. EM itself runs on a table of
@@ -20,21 +21,21 @@ few thousand.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import chain, fold, partitions, texts, utf8, word_hashes
-from millrace.llm.counts import REQUEST_ARROW, REQUESTS, TOTALS, answered, as_table, requests, totals
+from millrace.llm.blocks import BLOCK_BYTES, pack_blocks, text_bytes, unpacked
+from millrace.llm.common import chain, fold, texts, utf8, word_hashes
+from millrace.llm.counts import REQUEST_ARROW, REQUESTS, TOTALS, answered, as_table, n_ranges, requests, totals
 from millrace.session import stage
 
 # Keys of the text's begin and end; a word's hash meets them with the odds of 2**-64.
 _BEGIN, _END = np.uint64(0x5BD1E9955BD1E995), np.uint64(0xC2B2AE3D27D4EB4F)
 _WORD, _PAIR = 0, 1  # kinds of keys
-_PAIR_BITS = 48
 _STEPS = 8  # EM cells per binary order
 _FLOOR = 64  # a zero estimate's place in the cells, below any ratio
 _SHIFT = 1 << 16
@@ -64,7 +65,7 @@ class _Block:
         before = np.empty_like(tokens)
         before[1:] = tokens[:-1]
         before[self.ends[:-1]] = _BEGIN
-        pairs = chain(before, tokens) >> np.uint64(64 - _PAIR_BITS)
+        pairs = chain(before, tokens)
         del words, before
         self.words, self.word_at = _distinct(tokens)
         del tokens
@@ -77,7 +78,7 @@ class _Block:
 
         keys = {
             _WORD: (self.words, count(self.word_at, len(self.words)), 64),
-            _PAIR: (self.keys, count(self.pair_at, len(self.keys)), _PAIR_BITS),
+            _PAIR: (self.keys, count(self.pair_at, len(self.keys)), 64),
         }
         return requests(block, keys, ranges)
 
@@ -97,15 +98,16 @@ def _buckets(counts: np.ndarray) -> np.ndarray:
 
 
 def _cells(n: int, v: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """EM events of held-out documents, each scored without its own counts."""
+    """EM events of training documents, each scored without its own counts."""
 
-    def cells(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return pa.table({c: pa.array([], pa.int64() if c == "n" else pa.int32()) for c in ("bucket", "r2", "r1", "n")})
+    def cells(packed: pa.Table, answers: pa.Table) -> pa.Table:
+        [(_, table)] = unpacked(packed)
         block = _Block(table)
         chw, ch, cw = block.counts(answers)
         found = []
         for a, b in zip(block.ends[:-1], block.ends[1:]):
+            if not block.train[a]:
+                continue
             size = b - a
 
             def own(ids):
@@ -163,7 +165,8 @@ def mixture_weights(cells: np.ndarray, rounds: int = 40) -> np.ndarray:
 
 
 def _scores(n: int, v: int, weights: np.ndarray, alpha: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    def scores(table: pa.Table, answers: pa.Table) -> pa.Table:
+    def scores(packed: pa.Table, answers: pa.Table) -> pa.Table:
+        [(_, table)] = unpacked(packed)
         block = _Block(table)
         chw, ch, cw = block.counts(answers)
         mix = weights[_buckets(ch)]
@@ -187,46 +190,37 @@ def _scores(n: int, v: int, weights: np.ndarray, alpha: float) -> Callable[[pa.T
 
 
 def interpolated_lm(
-    docs: DataFrame, folds: int = 10, em_fold: int = 1, alpha: float = 0.1, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, folds: int = 10, alpha: float = 0.1, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
-    Fold 0 of the ids' crc32 is held out and never counted; ``em_fold`` gives the
-    EM events. Empty texts are one end token. Without any training text all
-    tokens are unknown and share the floor; without any EM text the floor
-    has all the weight.
+    Fold 0 of the ids' crc32 is held out and never counted. Empty texts are one end
+    token. Without any training text all tokens are unknown and share the floor,
+    which then has all the weight.
     """
-    spark = docs.sparkSession
-    ranges = partitions(spark)
-    blocks = 4 * ranges  # a block is held in memory as arrays, several numbers a token
     base = texts(docs, id_col, text_col)
-    part = fold("doc_id", folds)
-    base = base.select("doc_id", "text", (part == 0).alias("held_out"), (part != 0).alias("train"), (part == em_fold).alias("em"))
-    # Documents of the EM fold have blocks of their own, so the EM pass moves no others.
-    own = max(1, blocks // folds)
-    spread = F.xxhash64("doc_id", "text")
-    block = F.when(F.col("em"), F.pmod(spread, F.lit(own))).otherwise(own + F.pmod(spread, F.lit(blocks)))
-    dealt = base.withColumn("block", block.cast("int"))
-
-    def ask(table: pa.Table) -> pa.Table:
-        return as_table(_Block(table).requests(table.column("block")[0].as_py(), ranges), REQUEST_ARROW)
-
-    asked = dealt.groupBy("block").applyInArrow(ask, REQUESTS)
+    held = fold("doc_id", folds) == 0
+    blocks = pack_blocks(base.select("doc_id", "text", held.alias("held_out"), (~held).alias("train")), block_bytes)
+    ranges = n_ranges(text_bytes(blocks))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, table in unpacked(batch):
+                yield from as_table(_Block(table).requests(block, ranges), REQUEST_ARROW).to_batches()
+
+    asked = blocks.select("block", "packed").mapInArrow(ask, REQUESTS)
     counted = stage(asked.groupBy("range", "kind").applyInArrow(totals, TOTALS), "counts")
     sums = counted.filter(f"block IS NULL AND kind = {_WORD}").agg(F.sum("n_all"), F.sum("n_keys")).first()
     n, v = int(sums[0] or 0), int(sums[1] or 0)
 
     answers = counted.filter("block IS NOT NULL")
-    cells = (
-        dealt.filter("em").groupBy("block").cogroup(answers.filter(F.col("block") < own).groupBy("block"))
-        .applyInArrow(_cells(n, v), CELLS)
-        .groupBy("bucket", "r2", "r1").agg(F.sum("n").alias("n"))
-    )
+    met = blocks.groupBy("block").cogroup(answers.groupBy("block"))
+    cells = met.applyInArrow(_cells(n, v), CELLS).groupBy("bucket", "r2", "r1").agg(F.sum("n").alias("n"))
     events = np.array([tuple(r) for r in cells.collect()], np.int64).reshape(-1, 4)
     weights = mixture_weights(events)
     if not len(events):
         weights[:] = (0.0, 0.0, 1.0)
-    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scores(n, v, weights, alpha), SCORES)
+    scored = met.applyInArrow(_scores(n, v, weights, alpha), SCORES)
     return scored.withColumn("train_tokens", F.lit(n).cast("bigint")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

@@ -35,9 +35,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import chain, mix, one, partitions, raw, texts, utf8, with_block, word_hashes
+from millrace.llm.blocks import BLOCK_BYTES, pack_blocks, text_bytes, unpacked
+from millrace.llm.common import chain, mix, one, raw, texts, utf8, word_hashes
 from millrace.llm.components import connected_components
-from millrace.llm.counts import REQUEST_ARROW, REQUESTS, TOTALS, answered, as_table, requests, totals
+from millrace.llm.counts import REQUEST_ARROW, REQUESTS, TOTALS, answered, as_table, n_ranges, requests, totals
 from millrace.session import stage
 
 PIVOTS = 16  # parts of the gram space for the suffix filter
@@ -76,19 +77,20 @@ def _keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(keys, return_counts=True)
 
 
-def prefixes(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def prefixes(docs: DataFrame, n: int, num: int, den: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: set size, and for texts that may have a partner their class,
     prefix grams with their places, and (once per class and block) the full set."""
-    ranges = partitions(docs.sparkSession)
-    blocks = 2 * ranges
-    dealt = with_block(docs, blocks)
+    blocks = pack_blocks(docs, block_bytes)
+    ranges = n_ranges(text_bytes(blocks))
 
-    def ask(table: pa.Table) -> pa.Table:
-        keys, counts = _keys(_block_sets(table, n))
-        rows = requests(table.column("block")[0].as_py(), {0: (keys, counts, _BITS)}, ranges)
-        return as_table(rows, REQUEST_ARROW)
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, table in unpacked(batch):
+                rows = requests(block, {0: (*_keys(_block_sets(table, n)), _BITS)}, ranges)
+                yield from as_table(rows, REQUEST_ARROW).to_batches()
 
-    def order(table: pa.Table, answers: pa.Table) -> pa.Table:
+    def order(block: pa.Table, answers: pa.Table) -> pa.Table:
+        [(_, table)] = unpacked(block)
         sets = _block_sets(table, n)
         keys, _ = _keys(sets)
         found = answered(answers, 0)
@@ -114,9 +116,9 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 row["members"] = raw(grams)
         return as_table(rows, _PREFIX_ARROW)
 
-    asked = dealt.groupBy("block").applyInArrow(ask, REQUESTS)
+    asked = blocks.select("block", "packed").mapInArrow(ask, REQUESTS)
     answers = asked.groupBy("range").applyInArrow(totals, TOTALS).filter("block IS NOT NULL")
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(order, PREFIXES)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(order, PREFIXES)
 
 
 def _suffix_ok(num: int, den: int):

@@ -8,12 +8,13 @@ from html import unescape
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from compare import difference
-from millrace.llm import components, decontaminate, pii, quality_rules, url_filters, wrappers
-from millrace.llm.interpolated_lm import interpolated_lm
+from millrace.llm import blocks, components, counts, decontaminate, pii, quality_rules, url_filters, wrappers
+from millrace.llm.interpolated_lm import interpolated_lm, mixture_weights
 from millrace.llm.ngram_join import drop_near_duplicates, ngram_jaccard_join
 from millrace.llm.packing import best_fit_decreasing, pack, sequences
 from millrace.llm.pairwise_quality import pairwise_quality
@@ -31,22 +32,70 @@ def words(text):
     return (text or "").encode().lower().split()
 
 
-def test_language_model_against_brute_force(docs, odd_docs):
-    for frame in (docs, odd_docs):
-        rows = [(r.doc_id, words(r.text) + [0]) for r in frame.collect()]
-        fold = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10
-        counts = collections.Counter(w for i, t in rows if fold(i) for w in t)
-        n, v = sum(counts.values()), len(counts)
-        base = lambda t: sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
-        expected = sorted((-1 if i is None else i, fold(i) == 0, len(t), sum(counts[w] > 0 for w in t), n, round(base(t), 6)) for i, t in rows)
-        found = interpolated_lm(frame).collect()
-        actual = sorted((-1 if r.doc_id is None else r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in found)
-        assert actual == expected
-        assert all(r.score < 0 or n == 0 for r in found)
+def lm_scores(rows):
+    """(id, held out, tokens, known, N, base, score) by dictionaries; the weights from the same cells."""
+    docs = [(i, words(r) + [0], zlib.crc32(("" if i is None else str(i)).encode()) % 10 > 0) for i, r in rows]
+    c1 = collections.Counter(w for _, t, train in docs if train for w in t)
+    c2 = collections.Counter(p for _, t, train in docs if train for p in zip([1, *t], t))
+    n, v = sum(c1.values()), len(c1)
+    seen = lambda h: c1[0] if h == 1 else c1[h]  # noqa: E731  a text begins as often as one ends
+    cells = collections.Counter()
+    for _, t, train in docs:
+        if train:
+            o1, o2 = collections.Counter(t), collections.Counter(zip([1, *t], t))
+            for h, w in zip([1, *t], t):
+                a, c, b = c2[h, w] - o2[h, w], seen(h) - (1 if h == 1 else o1[h]), c1[w] - o1[w]
+                r2 = round(8 * math.log2(a / c * (v + 1))) if a > 0 and c > 0 else -512
+                r1 = round(8 * math.log2(b / max(n - len(t), 1) * (v + 1))) if b > 0 else -512
+                cells[max(c, 0).bit_length(), r2, r1] += 1
+    weights = mixture_weights(np.array([(*k, x) for k, x in cells.items()], np.int64).reshape(-1, 4))
+    if not cells:
+        weights[:] = (0, 0, 1)
+    out = []
+    for i, t, train in docs:
+        p = [weights[seen(h).bit_length()] @ (c2[h, w] / max(seen(h), 1), c1[w] / max(n, 1), 1 / (v + 1)) for h, w in zip([1, *t], t)]
+        base = sum(math.log10((c1[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
+        out.append((-1 if i is None else i, not train, len(t), sum(c1[w] > 0 for w in t), n, round(base, 6), round(sum(map(math.log10, p)), 6)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block_bytes", [3000, 8 << 20])
+def test_language_model_against_brute_force(docs, odd_docs, block_bytes):
+    for frame in (docs, odd_docs, odd_docs.filter("doc_id = 11")):
+        found = interpolated_lm(frame, block_bytes=block_bytes).collect()
+        actual = [(-1 if r.doc_id is None else r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in found]
+        expected = lm_scores([(r.doc_id, r.text) for r in frame.collect()])
+        for x, y in zip(sorted(actual), expected, strict=True):
+            assert x[:5] == y[:5] and x[5:] == pytest.approx(y[5:], abs=1e-5)
     held = [r for r in interpolated_lm(docs).collect() if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+@pytest.mark.parametrize("block_bytes", [1, 500, 8 << 20])
+def test_blocks_hold_all_rows_and_no_more_bytes(spark, odd_docs, block_bytes):
+    frame = odd_docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang").repartition(2)
+    packed = blocks.pack_blocks(frame, block_bytes).toArrow()
+    rows, sizes = collections.Counter(), packed.column("n_bytes").to_pylist()
+    for (block, table), size in zip(blocks.unpacked(packed), sizes):
+        rows += collections.Counter(map(tuple, (r.values() for r in table.to_pylist())))
+        assert table.num_rows == 1 or size <= block_bytes
+        assert size == sum(64 + len(t.encode()) for t in table.column("text").to_pylist())
+    assert rows == collections.Counter(map(tuple, frame.collect())) and len(set(packed.column("block").to_pylist())) == len(sizes)
+
+
+def test_rows_of_the_count_exchange_follow_the_text(spark, docs):
+    """Not the number of partitions: a block and a range exist for so many bytes each."""
+    made = []
+    for n in (2, 40):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            found = ngram_jaccard_join(docs.repartition(2)).select("component_id").collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+        made.append(sorted(r.component_id for r in found))
+    assert made[0] == made[1] and counts.n_ranges(0) == 1 and counts.n_ranges(1 << 30) == 65
+
+
 def test_join_and_near_duplicates_on_odd_rows(odd_docs):
     rows = {(r.doc_id, r.n_shingles): r.component_id for r in ngram_jaccard_join(odd_docs, 3, 9, 10).collect()}
     assert rows[(1, 8)] == rows[(2, 8)] == rows[(3, 8)] == 1
@@ -299,7 +348,7 @@ def test_decontamination_and_urls_on_odd_rows(spark, odd_docs):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, sf_dir, tmp_path, name):
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         spark.read.parquet(f"{sf_dir}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert QUERIES[name](spark, str(tmp_path)).count() == 0
 
