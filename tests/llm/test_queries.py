@@ -83,6 +83,11 @@ def test_blocks_hold_all_rows_and_no_more_bytes(spark, odd_docs, block_bytes):
     assert rows == collections.Counter(map(tuple, frame.collect())) and len(set(packed.column("block").to_pylist())) == len(sizes)
 
 
+def test_planes_of_bytes_round_trip():
+    for values in (np.zeros(0, np.uint64), np.array([0, 1, 255, 2**63, 2**64 - 1], np.uint64), np.arange(1000, dtype=np.int64)):
+        assert counts.of_planes(counts.planes(values)).tolist() == values.tolist()
+
+
 def test_rows_of_the_count_exchange_follow_the_text(spark, docs):
     """Not the number of partitions: a block and a range exist for so many bytes each."""
     made = []
@@ -308,26 +313,121 @@ def test_quality_classifier_on_held_out_documents(spark, docs, odd_docs, sf_dir)
     assert all(r.score == pytest.approx(0.3) for r in pairwise_quality(odd_docs, none).collect())
 
 
-def test_main_text_against_markup(spark, sf_dir):
-    html = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
-    for r in QUERIES["op10_main_text"](spark, sf_dir).collect():
-        article = html[r.page_id].split("<article>")[1].split("</article>")[0]
-        parts = (" ".join(unescape(re.sub("<br>", " ", re.sub("</?b>", "", x))).split()) for x in re.split("</?(?:p|h1)>", article))
-        assert r.text == "\n\n".join(x for x in parts if x) and r.n_chars == len(r.text)
+def markup_text(html):
+    article = html.split("<article>")[1].split("</article>")[0]
+    parts = (" ".join(unescape(re.sub("<br>", " ", re.sub("</?b>", "", x))).split()) for x in re.split("</?(?:p|h1)>", article))
+    return "\n\n".join(x for x in parts if x)
 
 
-def test_wrapper_without_article_and_odd_pages(spark):
-    page = "<body><div class=x><p>Same everywhere</p></div><div><p>{0} one &amp; two<br>three</p><div id=comments>no</div><p>{0} end</div><form>f</form>"
-    rows = [(k, f"http://a.example.com/{k}", page.format(f"text {k} long enough"), "h") for k in range(3)]
-    rows += [(7, None, None, "h"), (8, "", "", "h"), (9, "http://b.example.org/", "<p>only <b>page", "h"), (9, "http://b.example.org/", "<p>only <b>page", "h"), (10, "x", "<div>" * 3000 + "deep", "h")]
-    frame = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_main_text_against_markup(spark, sf_dir, tag):
+    """Also where the pages don't mark their article: then the aligned slots alone lead to it."""
+    pages = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/pages.parquet")
+    html = {r.page_id: r.html for r in pages.collect()}
+    told = pages.withColumn("html", F.replace(F.replace("html", F.lit("<article>"), F.lit(f"<{tag}>")), F.lit("</article>"), F.lit(f"</{tag}>")))
+    found = wrappers.extract_main_text(told).collect()
+    assert len(found) == len(html)
+    for r in found:
+        assert r.text == markup_text(html[r.page_id])
+
+
+def test_query_gives_the_length_of_main_text(spark, sf_dir):
+    assert all(r.n_chars == len(r.text) for r in QUERIES["op10_main_text"](spark, sf_dir).collect())
+
+
+def extracted(spark, *pages):
+    """Text by page id; pages are (id, url, html)."""
+    frame = spark.createDataFrame([(*p, "h", 1) for p in pages], "page_id long, url string, html string, host string, part int")
     found = collections.defaultdict(list)
     for r in wrappers.extract_main_text(frame).collect():
         found[r.page_id].append(r.text)
+    return found
+
+
+def test_wrapper_without_article_and_odd_pages(spark):
+    page = "<body><div class=x><p>Same everywhere</p></div><div><p>{0} one &amp; two<br>three</p><div id=comments>no</div><p>{0} end</div><form>f</form>"
+    rows = [(k, f"http://a.example.com/{k}", page.format(f"text {k} long enough")) for k in range(3)]
+    rows += [(7, None, None), (8, "", ""), (9, "http://b.example.org/", "<p>only <b>page"), (9, "http://b.example.org/", "<p>only <b>page"), (10, "x", "<div>" * 30_000 + "deep")]
+    found = extracted(spark, *rows)
     assert found[1] == ["text 1 long enough one & two three\n\ntext 1 long enough end"]
     assert found[7] == found[8] == [""] and found[9] == ["only page"] * 2 and found[10] == ["deep"]
 
 
+def test_copies_are_no_evidence_and_shared_passages_stay(spark):
+    page = "<body><div id=top>Menu text</div><div><p>{}</p><p>{}</p></div>"
+    same = page.format("one page only", "that is all of it")
+    twins = [(k, f"http{'s' * (k % 2)}://t.example.com/?u={k}", same) for k in range(4)]
+    license = "Free to copy under the licence."
+    rows = [(10 + k, f"http://l.example.com/{k}", page.format(f"text number {k} of some length", license if k < 2 else f"own end {k}")) for k in range(6)]
+    found = extracted(spark, *twins, *rows)
+    assert all(found[k] == ["Menu text\n\none page only\n\nthat is all of it"] for k in range(4))
+    # Two of six pages have the licence; it is template for none of them.
+    assert all(found[10 + k][0].endswith(license) for k in (0, 1)) and "Menu" not in "".join(x for k in range(6) for x in found[10 + k])
+
+
+def test_names_of_large_elements_and_titles_beside_the_text(spark):
+    def site(host, page):
+        return [(k, f"http://{host}.example.com/{k}", page.format(k=k, long=f"a long text {k} " * 30)) for k in range(3)]
+
+    pages = {
+        "body": "<body class='has-sidebar'><nav>x {k}</nav><div class='content no-sidebar'><h1>T {k}</h1><p>{long}</p></div>",
+        "lead": "<body><div class=post><h1>T {k}</h1><p>lead {k}</p><div class=body><p>{long}</p></div></div><div class='site-footer'>f {k}</div>",
+        "parts": "<body><section><p>{long}</p></section><section><p>short {k}</p></section><div class='cookie-banner'>c {k}</div>",
+        "names": "<body><div id='search-result-article'><h1>T {k}</h1><p>{long}</p><div class='header-image'>i {k}</div><div class='main-nav'>n {k}</div></div>",
+        "wrong": "<body><div class='sidebar'><h1>T {k}</h1><p>{long}</p></div><div class=ad>buy {k}</div>",
+        "teaser": "<body><article>card {k}</article><div><h1>T {k}</h1><p>{long}</p></div>",
+    }
+    long = " ".join(["a long text 1"] * 30)
+    expected = {
+        "body": f"T 1\n\n{long}", "lead": f"T 1\n\nlead 1\n\n{long}", "parts": f"{long}\n\nshort 1",
+        "names": f"T 1\n\n{long}\n\ni 1", "wrong": f"T 1\n\n{long}", "teaser": f"T 1\n\n{long}",
+    }
+    for host, page in pages.items():
+        assert extracted(spark, *site(host, page))[1] == [expected[host]], host
+
+
+def tree_weight(a, b):
+    """Largest matching of two trees by plain recursion over all ways."""
+    if a.tag != b.tag:
+        return 0
+
+    def rest(xs, ys):
+        if not xs or not ys:
+            return 0
+        return max(rest(xs[1:], ys), rest(xs, ys[1:]), tree_weight(xs[0], ys[0]) + rest(xs[1:], ys[1:]))
+
+    return 1 + rest(tuple(a.kids), tuple(b.kids))
+
+
+def test_tree_matching_against_brute_force(monkeypatch):
+    rng = np.random.default_rng(12)
+
+    def page(depth):
+        tag = ("div", "p", "ul")[rng.integers(0, 3)]
+        return f"<{tag}>{rng.integers(0, 3)}" + "".join(page(depth - 1) for _ in range(rng.integers(0, 4) if depth else 0)) + f"</{tag}>"
+
+    for _ in range(40):
+        a, b = (wrappers.parse("<div>" + page(2).replace("p>", "b>") + page(2).replace("p>", "b>") + "</div>") for _ in range(2))
+        assert wrappers.align(a, b, set()) == tree_weight(a, b)
+    # Long lists of children beyond the table's bound: equal ends are matched, the middle in order.
+    monkeypatch.setattr(wrappers, "MATCH_CELLS", 50)
+    a = wrappers.parse("<div>" + "".join(f"<i>{k}</i>" for k in range(40)) + "</div>")
+    b = wrappers.parse("<div>" + "".join(f"<i>{k}</i>" for k in range(40) if k != 20) + "</div>")
+    constant = set()
+    assert wrappers.align(a, b, constant) == 41 and len(constant) == 41
+
+
+def test_many_siblings_and_many_pages_of_a_host(spark, monkeypatch):
+    wide = "<body><div>" + "".join(f"<p>{{}} {i}</p>" for i in range(3000)) + "</div>"
+    pages = [(k, "http://w.example.com/", re.sub("{}", f"w{k}", wide)) for k in range(2)]
+    page = "<body><div>Menu</div><div><p>text {0} of its own</p></div>"
+    monkeypatch.setattr(wrappers, "HOST_PART", 20)
+    pages += [(100 + k, f"http://hot.example.com/{k}", page.format(k)) for k in range(150)]
+    found = extracted(spark, *pages)
+    assert found[1][0].startswith("w1 0\n\nw1 1\n\n") and found[1][0].endswith("w1 2999")
+    assert all(found[100 + k] == [f"text {k} of its own"] for k in range(150))
+
+
 def test_decontamination_and_urls_on_odd_rows(spark, odd_docs):
     bench = spark.createDataFrame([("i", "A b-c d"), ("j", "q"), (None, "one"), ("k", None), ("i", "a B c D")], "item_id string, text string")
     rows = {(r.doc_id, r.n_words): (r.n_hit, list(r["items"])) for r in decontaminate.decontaminate(odd_docs, bench).collect()}
