@@ -24,10 +24,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
-    prepare(spark)
-    refs = quality_rules.references(quality_rules.histograms(docs))
-    return quality_rules.judge(quality_rules.measure(docs), refs).filter("rule_kept").select(*docs.columns)
+    """Documents that pass the quality rules; measured once, beside their columns, for both steps."""
+    measured = stage(quality_rules.measure(_ready(spark, docs)), "measured")
+    judged = quality_rules.judge(measured, quality_rules.references(measured))
+    return judged.filter("rule_kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
