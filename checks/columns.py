@@ -20,11 +20,15 @@ from millrace.functions.columns import (
     conform_layout,
     hash_key,
     pack_attributes,
+    pack_variant,
     rename_by_mapping,
     stamp_audit,
     strip_bookkeeping,
     unpack_attributes,
+    unpack_variant,
+    variant_schema,
 )
+from millrace.session import stage
 from millrace.operators.filters import (
     active_rows,
     delete_events,
@@ -120,6 +124,47 @@ def _(spark, sf):
     return unpack_attributes(packed, schema)
 
 
+def nested_events(spark, sf):
+    """Events with a struct, an array, a decimal, a time and parsed JSON among their attributes."""
+    e = table(spark, sf, "events")
+    return e.select(
+        "event_id",
+        F.struct(F.col("user_id").alias("id"), F.array("event_type", F.upper("event_type")).alias("names")).alias("who"),
+        F.col("ts").alias("at"),
+        F.col("value").cast("decimal(20,4)").alias("amount"),
+        F.nullif(F.col("user_id"), F.lit(1)).alias("maybe"),
+        F.parse_json("props").alias("props"),
+    )
+
+
+@query(
+    "variant_round_trip",
+    """SELECT event_id, user_id AS id, event_type || ',' || upper(event_type) AS names, upper(event_type) AS second, ts AS at,
+              CAST(CAST(value AS DECIMAL(20,4)) AS VARCHAR) AS amount, nullif(user_id, 1) AS maybe,
+              CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(NULL AS INTEGER) AS unfit FROM events""",
+)
+def _(spark, sf):
+    """Nested and typed attributes packed, written, read and unpacked again."""
+    packed = stage(pack_variant(nested_events(spark, sf), ["event_id"]), "packed")
+    schema = T.StructType.fromDDL(
+        "who struct<id:bigint,names:array<string>>, second string, at timestamp_ntz, amount decimal(20,4), maybe bigint, k int, unfit int"
+    )
+    paths = {"second": "$.who.names[1]", "k": "$.props.k", "unfit": "$.who.names"}
+    got = unpack_variant(packed, schema, paths=paths)
+    return got.withColumns({"id": F.col("who.id"), "names": F.array_join("who.names", ","), "amount": F.col("amount").cast("string")}).drop("who")
+
+
+@query(
+    "variant_schema",
+    """SELECT 'OBJECT<amount: DECIMAL, at: TIMESTAMP_NTZ, maybe: BIGINT, props: OBJECT<k: BIGINT>, who: OBJECT<id: BIGINT, names: ARRAY<STRING>>>'
+       AS schema""",
+)
+def _(spark, sf):
+    """What the packed attributes of all events are."""
+    found = variant_schema(pack_variant(nested_events(spark, sf), ["event_id"]))
+    return found.select(F.regexp_replace("schema", r"DECIMAL\(\d+,\d+\)", "DECIMAL").alias("schema"))
+
+
 @query(
     "hash_key",
     """WITH p AS (SELECT p_partkey, nullif(p_brand, 'Brand#4') AS a,

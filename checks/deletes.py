@@ -20,6 +20,8 @@ from checks.registry import (
     table,
     ts,
 )
+from millrace.session import new_folder
+from millrace.streaming import VersionedTable, stream_deletion_log
 from millrace.operators.deletes import (
     apply_hard_delete,
     apply_log_delete,
@@ -144,3 +146,44 @@ def _(spark, sf):
     return soft_delete(dimension(spark, sf), deletion_log(spark, sf), {"sk": "pk"})
 
 
+
+
+def streamed_log(spark, sf):
+    """The deletion log after three deliveries of journal files, the newest events first."""
+    rows = journal(spark, sf)
+    log = VersionedTable(spark, new_folder(spark, "log"), deletion_log(spark, sf).schema)
+    inbox, offsets = new_folder(spark, "journal"), new_folder(spark, "offsets")
+    for since, until in (("2024-01-20", "2025-01-01"), ("2024-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20")):
+        part = rows.where((F.col("seen_at") >= ts(since)) & (F.col("seen_at") < ts(until)))
+        part.coalesce(2).write.mode("append").parquet(inbox)
+        stream = stream_deletion_log(
+            spark, inbox, rows.schema, offsets, log, **NAMES, batch_id=BATCH, load_ts=LOAD_TS, maxFilesPerTrigger=1
+        )
+        stream.awaitTermination()
+    return log.state()
+
+
+@query(
+    "stream_deletion_log",
+    f"""SELECT '{NAMES["model_id"]}' AS model_id, '{NAMES["model_grp"]}' AS model_grp, '{NAMES["pipeline_name"]}' AS pipeline_name,
+               primary_key__pk AS pk, max(seen_at) AS src_load_ts, {SQL_BATCH} AS batch_id,
+               {SQL_LOAD_TS} AS etl_load_ts, {SQL_LOAD_TS} AS etl_updt_ts
+        FROM journal WHERE event_type = 'IncrementalDeleteRows' GROUP BY primary_key__pk""",
+    "journal",
+    ids=("pk", "batch_id"),
+)
+def _(spark, sf):
+    """What one run over the whole journal gives, from a stream of its parts."""
+    return streamed_log(spark, sf)
+
+
+@query(
+    "apply_streamed_deletes",
+    """SELECT * FROM dim d WHERE NOT EXISTS (SELECT 1 FROM journal j
+       WHERE j.event_type = 'IncrementalDeleteRows' AND j.primary_key__pk = d.sk)""",
+    "dim journal",
+    ids=("sk", "seq"),
+)
+def _(spark, sf):
+    """A table without the keys of the streamed log."""
+    return apply_log_delete(dimension(spark, sf), streamed_log(spark, sf), NAMES["model_id"], "sk")

@@ -1,9 +1,12 @@
 """Keyed writes: each query returns the table after the write."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.registry import (
     BATCH,
+    CTES,
     LOAD_TS,
     SQL_LOAD_TS,
     SQL_STAMPS,
@@ -30,7 +33,11 @@ from millrace.operators.merge import (
     merge_update_subset,
     merge_upsert,
 )
+from millrace.operators.deletes import apply_hard_delete
+from millrace.session import new_folder
+from millrace.sources import save_bucketed, save_partitions, save_state, touched_partitions
 from millrace.sources.files import const_table, table_ref_filter
+from millrace.streaming import VersionedTable, apply_new_files
 
 
 def new_rows(spark, sf):
@@ -267,3 +274,66 @@ JOURNAL_IDS = (
 def _(spark, sf):
     newest = [(name, segment(spark, sf, name)) for name in ("events_2", "events_3")]
     return journal_reload(bronze_journal(spark, sf), newest, since="2024-01-15", **STAMPS)
+
+
+def bucketed_merge(spark, sf):
+    """Orders in buckets of their key, with the new ones merged: the table after it, in buckets again."""
+    name = "orders_" + uuid.uuid4().hex
+    target = save_bucketed(silver(spark, sf), f"{name}_old", new_folder(spark, "bucketed"), ["k"], 8)
+    merged = merge_upsert(target, new_rows(spark, sf), ["k"], preserve_load_ts=True)
+    return save_bucketed(merged, f"{name}_new", new_folder(spark, "bucketed"), ["k"], 8)
+
+
+@query("merge_upsert_bucketed", "SELECT * FROM merged", "o silver bronze merged", ids=("batch_id",))
+def _(spark, sf):
+    return bucketed_merge(spark, sf)
+
+
+@query(
+    "apply_hard_delete_bucketed",
+    "SELECT * FROM merged m WHERE EXISTS (SELECT 1 FROM o WHERE o.k = m.k AND o.st <> 'P')",
+    "o silver bronze merged",
+    ids=("batch_id",),
+)
+def _(spark, sf):
+    """Deletes into the table that the merge left in its buckets."""
+    gone = all_orders(spark, sf).where(F.col("st") == "P").select("k")
+    return apply_hard_delete(bucketed_merge(spark, sf), gone, ["k"])
+
+
+CTES["merged_years"] = f"""
+SELECT *, CAST(year(src_load_ts) AS INTEGER) AS y FROM silver WHERE year(src_load_ts) <> 1999 UNION ALL
+SELECT *, {SQL_STAMPS}, 1999 FROM bronze WHERE year(src_load_ts) = 1999"""
+
+
+@query("merge_touched_partitions", "SELECT * FROM merged_years", "o silver bronze merged_years", ids=("batch_id",))
+def _(spark, sf):
+    """A merge into orders by year of order that reads and rewrites the years of the increment only."""
+    year = F.year("src_load_ts").alias("y")
+    target = save_state(silver(spark, sf).select("*", year), new_folder(spark, "years"), partition_by=["y"])
+    path = target.inputFiles()[0].rsplit("/y=", 1)[0]
+    source = new_rows(spark, sf).where(F.year("src_load_ts") == 1999).select("*", year)
+    merged = merge_upsert(touched_partitions(target, source, "y"), source, ["k"])
+    save_partitions(merged, path, ["y"])
+    return spark.read.schema(target.schema).parquet(path).select(*target.columns)
+
+
+@query("apply_new_files", "SELECT * FROM merged", "o silver bronze merged", ids=("batch_id",))
+def _(spark, sf):
+    """Silver orders as a table that a stream of files of new orders is merged into, a file at a time."""
+    first = silver(spark, sf)
+    versions = VersionedTable(spark, new_folder(spark, "versions"), first.schema)
+    versions.save(first, -1)
+    inbox = new_folder(spark, "inbox")
+    rows = new_rows(spark, sf)
+    rows.repartition(3).write.parquet(inbox)
+
+    def apply(batch, number):
+        merged = merge_upsert(versions.state(number), batch, ["k"], preserve_load_ts=True)
+        versions.save(merged, number)
+
+    stream = apply_new_files(
+        spark, inbox, None, rows.schema, new_folder(spark, "offsets"), apply, "parquet", maxFilesPerTrigger=1
+    )
+    stream.awaitTermination()
+    return versions.state()

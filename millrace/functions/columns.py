@@ -152,6 +152,44 @@ def unpack_attributes(
     return parsed.select(*typed, *rest)
 
 
+def pack_variant(
+    df: DataFrame, envelope_cols: Sequence[str] = JOURNAL_ENVELOPE, out: str = "attributes"
+) -> DataFrame:
+    """Fold every non-envelope column into one VARIANT object.
+
+    Structs, arrays, dates, times and decimals stay what they are inside, where JSON text would
+    make text or doubles of them; JSON text is a nested value after ``parse_json``.
+    """
+    envelope = {c.lower() for c in envelope_cols}
+    kept = [c for c in df.columns if c.lower() in envelope]
+    packed = sorted(c for c in df.columns if c.lower() not in envelope)
+    body = F.to_variant_object(F.struct(*packed)) if packed else F.parse_json(F.lit("{}"))
+    return df.select(*kept, body.alias(out))
+
+
+def unpack_variant(
+    df: DataFrame, schema: T.StructType, packed: str = "attributes", paths: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Typed columns from a VARIANT object, then the other columns of ``df``.
+
+    A field comes from the attribute of its name, or from the path given for it
+    (``$.customer.address[0]``). An attribute that is absent, or doesn't fit the type, is NULL.
+    """
+    where = dict(paths or {})
+    rest = [c for c in df.columns if c != packed]
+    typed = [
+        F.try_variant_get(F.col(packed), where.get(f.name, f"$['{f.name}']"), f.dataType.simpleString()).alias(f.name)
+        for f in schema.fields
+        if f.name not in rest
+    ]
+    return df.select(*typed, *rest)
+
+
+def variant_schema(df: DataFrame, packed: str = "attributes") -> DataFrame:
+    """The schema that all objects of a VARIANT column have together, as one row (``schema``)."""
+    return df.agg(F.schema_of_variant_agg(packed).alias("schema"))
+
+
 def hash_key(
     cols: Sequence[str | Column],
     null_sentinel: str = "^^",

@@ -1,3 +1,4 @@
+from millrace.sources.bucketed import open_bucketed, save_bucketed
 from millrace.sources.files import (
     const_table,
     infer_file_schema,
@@ -14,6 +15,8 @@ __all__ = [
     "load_files_by_name",
     "load_files_replace",
     "load_files_with_mapping",
+    "open_bucketed",
+    "save_bucketed",
     "save_partitions",
     "save_state",
     "table_ref_filter",

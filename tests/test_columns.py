@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,8 +16,11 @@ from millrace.functions.columns import (
     hash_key,
     key_json,
     pack_attributes,
+    pack_variant,
     stamp_audit,
     unpack_attributes,
+    unpack_variant,
+    variant_schema,
 )
 from millrace.operators.filters import incremental_filter, name_filter
 
@@ -129,3 +133,30 @@ def test_name_filter_trims_and_ignores_case(frame, rows):
     df = frame("n string", (" Orders_1",), ("orders_SNAPSHOT_2",), ("lines_1",))
     assert rows(name_filter(df, "n", contains="ORDERS", lacks="snapshot")) == [(" Orders_1",)]
     assert rows(name_filter(df, "n", equals="orders_1")) == [(" Orders_1",)]
+
+
+def test_variant_keeps_types_that_json_text_loses(spark, tmp_path):
+    """Numbers beyond a double, times to the microsecond, text that looks like a number, nesting."""
+    at = dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    rows = [
+        (1, Decimal("12345678901234567890"), at, "007", ([1, None], {"a": 1.5}), None),
+        (2, None, None, "", ([], {}), "x"),
+        (3, Decimal(-1), at, None, None, "y"),
+    ]
+    df = spark.createDataFrame(
+        rows, "id int, n decimal(38,0), at timestamp_ntz, code string, deep struct<l:array<int>,m:map<string,double>>, o string"
+    )
+    packed = pack_variant(df, ["ID"])
+    assert packed.columns == ["id", "attributes"]
+    packed.write.parquet(str(tmp_path / "v"))
+    stored = spark.read.parquet(str(tmp_path / "v"))
+    back = unpack_variant(stored, df.drop("id").schema).select(*df.columns)
+    assert back.schema.simpleString() == df.schema.simpleString()
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    schema = T.StructType.fromDDL("x int, first int, missing string, code int, id string")
+    other = unpack_variant(stored, schema, paths={"x": "$.deep", "first": "$.deep.l[0]"})
+    # What doesn't fit is NULL; a column beside the object isn't taken from it.
+    got = sorted(map(tuple, other.select("id", "x", "first", "missing", "code").collect()))
+    assert got == [(1, None, 1, None, 7), (2, None, None, None, None), (3, None, None, None, None)]
+    assert "deep: OBJECT<l: ARRAY<BIGINT>, m: OBJECT<a: " in variant_schema(stored).first().schema
+    assert pack_variant(df.select("id"), ["id"]).count() == 3

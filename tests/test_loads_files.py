@@ -30,6 +30,7 @@ from millrace.sources.inference import clashing_files, csv_schema, file_columns,
 from millrace.sources.sinks import save_partitions, save_state, touched_partitions
 from millrace.streaming.ingest import apply_new_files, ingest_new_files
 from millrace.streaming.ledger import OnceTable, consume_files
+from millrace.streaming.versions import VersionedTable, stream_deletion_log
 
 T1, T2, T3, T4 = (dt.datetime(2024, 1, d) for d in (1, 2, 3, 4))
 STAMPS = {"batch_id": 2, "load_ts": T4}
@@ -469,3 +470,47 @@ def test_journal_to_bronze_loses_no_segment(frame, rows):
     assert read == [f"ORDERS_{n}" for n in range(1, 6)]
     two = journal_to_bronze(before, segments, parts.get, "orders", k=2, **options)
     assert rows(two, "primary_key__pk", "batch_id") == [(n, 1 if n < 4 else 2) for n in range(6)]
+
+
+JOURNAL = "primary_key__pk decimal(38,0), event_type string, least_significant_position decimal(38,0), seen_at timestamp_ntz"
+LOG = (
+    "model_id string, model_grp string, pipeline_name string, pk decimal(38,0), src_load_ts timestamp_ntz, "
+    "batch_id decimal(38,0), etl_load_ts timestamp_ntz, etl_updt_ts timestamp_ntz"
+)
+
+
+def test_deletion_log_of_increments_is_that_of_one_run(spark, frame, rows, tmp_path):
+    """Late, repeated and keyless events, and a micro-batch that comes again."""
+    gone, other = "IncrementalDeleteRows", "IncrementalUpdateRows"
+    parts = [
+        [(1, gone, 5, T3), (2, gone, 1, T1), (3, other, 1, T1), (None, gone, 1, T1)],
+        [(1, gone, 2, T2), (2, gone, 3, T2), (2, gone, 2, T2)],
+        [(1, other, 9, T4), (4, gone, 7, T4), (4, gone, 7, T4)],
+    ]
+    names = dict(model_id="m", model_grp="g", pipeline_name="p")
+
+    class Failing(VersionedTable):
+        left = 1
+
+        def save(self, df, version):
+            super().save(df, version)
+            if version == 1 and self.left:
+                self.left = 0
+                raise RuntimeError("lost after the save")
+
+    def run(log, folder, name):
+        schema = T.StructType.fromDDL(JOURNAL)
+        stream_deletion_log(spark, folder, schema, str(tmp_path / f"offsets-{name}"), log, **names, **STAMPS).awaitTermination()
+
+    steps = Failing(spark, str(tmp_path / "steps"), T.StructType.fromDDL(LOG))
+    for i, part in enumerate(parts):
+        frame(JOURNAL, *part).write.mode("append").parquet(str(tmp_path / "in"))
+        if i == 1:
+            with pytest.raises(PySparkException):
+                run(steps, str(tmp_path / "in"), "steps")
+        run(steps, str(tmp_path / "in"), "steps")
+    whole = VersionedTable(spark, str(tmp_path / "whole"), T.StructType.fromDDL(LOG))
+    run(whole, str(tmp_path / "in"), "whole")
+    expected = [("m", "g", "p", k, t, 2, T4, T4) for k, t in ((1, T3), (2, T2), (4, T4))]
+    assert rows(steps.state()) == rows(whole.state()) == rows(frame(LOG, *expected))
+    assert rows(steps.state(before=1), "pk") == rows(frame("pk decimal(38,0)", (1,), (2,)))

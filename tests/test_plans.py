@@ -5,6 +5,7 @@ skew thresholds set to almost nothing, so that joins sort, merge and split.
 """
 
 import re
+import uuid
 from contextlib import contextmanager
 
 import pytest
@@ -14,9 +15,12 @@ from checks import ORACLES, QUERIES
 from checks.registry import all_orders, silver
 from compare import difference
 from millrace.functions.columns import stamp_audit
+from millrace.operators.deletes import apply_hard_delete
 from millrace.operators.latest import latest_by_rank
 from millrace.operators.merge import merge_upsert
 from millrace.operators.numbering import lead_next_start, row_number_per_key
+from millrace.session import new_folder
+from millrace.sources import open_bucketed, save_bucketed
 
 
 def plan(df) -> str:
@@ -153,3 +157,33 @@ def test_a_hot_key_is_scanned_by_many_tasks(spark):
         led = lead_next_start(df, "k", "at", "v")
         wrong = led.where("k = 0 AND v < 39998 AND next_start <> timestamp_seconds(v + 2)::timestamp_ntz")
         assert wrong.isEmpty() and led.where("next_start IS NULL AND k = 0").count() == 1
+
+
+def lines_above(text: str, pattern: str) -> list[str]:
+    """The operators above the first line of a plan that matches."""
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if re.search(pattern, line))
+    depth = lambda line: re.search(r"[A-Za-z*(]", line).start()
+    out, own = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if re.search("[A-Za-z]", line) and depth(line) < own:
+            out.append(line)
+            own = depth(line)
+    return out
+
+
+def test_a_large_increment_leaves_bucketed_targets_where_they_are(spark, sf_dir):
+    """Merge, write back and delete: only the increment is shuffled, with broadcasts off."""
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        name, rows = "t_" + uuid.uuid4().hex, all_orders(spark, sf_dir)
+        target = save_bucketed(silver(spark, sf_dir), name, new_folder(spark, "b"), ["k"], 8)
+        source = stamp_audit(rows, batch_id=1, load_ts="2026-01-01")
+        merged = merge_upsert(target, source, ["k"])
+        for df in (merged, apply_hard_delete(target, rows, ["k"])):
+            above = lines_above(plan(df), "Bucketed: true")
+            assert not any("Exchange" in line for line in above) and any("SortMergeJoin" in line for line in above)
+        again = save_bucketed(merged, name + "_2", new_folder(spark, "b"), ["k"], 8)
+        assert len(again.inputFiles()) <= 16 and again.count() == rows.count()
+        path = again.inputFiles()[0].rsplit("/", 1)[0]
+        opened = open_bucketed(spark, name + "_3", path, again.schema.toDDL(), ["k"], 8)
+        assert "Bucketed: true" in plan(apply_hard_delete(opened, rows, ["k"])) and opened.count() == again.count()
