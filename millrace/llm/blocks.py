@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import one, utf8
 from millrace.session import stage
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 _PACKED = "block bigint, n_bytes bigint, packed binary"
 _IN_TASK = 1 << 32  # blocks of one task at most
 _ROW_BYTES = 64  # that a row counts beside its text, so that empty texts fill blocks too

@@ -23,7 +23,7 @@ REQUESTS = "range int, block bigint, kind int, keys binary, counts binary"
 TOTALS = "block bigint, range int, kind int, totals binary, n_keys bigint, n_all bigint"
 
 
-RANGE_BYTES = 16 << 20  # of text whose keys one range gets
+RANGE_BYTES = 8 << 20  # of text whose keys one range gets
 
 
 def planes(values: np.ndarray) -> bytes:

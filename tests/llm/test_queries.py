@@ -59,7 +59,7 @@ def lm_scores(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("block_bytes", [3000, 8 << 20])
+@pytest.mark.parametrize("block_bytes", [3000, 4 << 20])
 def test_language_model_against_brute_force(docs, odd_docs, block_bytes):
     for frame in (docs, odd_docs, odd_docs.filter("doc_id = 11")):
         found = interpolated_lm(frame, block_bytes=block_bytes).collect()
@@ -71,7 +71,7 @@ def test_language_model_against_brute_force(docs, odd_docs, block_bytes):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-@pytest.mark.parametrize("block_bytes", [1, 500, 8 << 20])
+@pytest.mark.parametrize("block_bytes", [1, 500, 4 << 20])
 def test_blocks_hold_all_rows_and_no_more_bytes(spark, odd_docs, block_bytes):
     frame = odd_docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang").repartition(2)
     packed = blocks.pack_blocks(frame, block_bytes).toArrow()
@@ -98,7 +98,7 @@ def test_rows_of_the_count_exchange_follow_the_text(spark, docs):
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "4")
         made.append(sorted(r.component_id for r in found))
-    assert made[0] == made[1] and counts.n_ranges(0) == 1 and counts.n_ranges(1 << 30) == 65
+    assert made[0] == made[1] and counts.n_ranges(0) == 1 and counts.n_ranges(1 << 30) == 129
 
 
 def test_join_and_near_duplicates_on_odd_rows(odd_docs):
