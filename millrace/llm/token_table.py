@@ -1,6 +1,6 @@
 """Token ids as Parquet list columns, in id order, for selective reads.
 
-One row per document: ``doc_id``, ``n_tokens``, ``shard`` and the ids as a list.
+One row per document: ``doc_id``, ``n_tokens``, ``shard``, the row's ``place`` in it and the ids as a list.
 Documents are range-partitioned by id, so files and row groups follow the id
 order and their statistics and page indexes prune reads of an id range; a read
 of metadata never touches the ids' column chunks. Ids are dictionary-encoded
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import one, texts
 from millrace.llm.tokens import crc, encoded
 
-SCHEMA = "doc_id bigint, n_tokens bigint, shard int, ids array<int>"
+SCHEMA = "doc_id bigint, n_tokens bigint, shard int, ids array<int>, place bigint"
 
 
 def write_token_table(
@@ -41,14 +41,17 @@ def write_token_table(
         raise ValueError(f"unknown encoding {encoding!r}")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = 0
         for batch in batches:
             ids = [np.frombuffer(x, np.uint32) for x in encoded(vocabulary, batch.column("text"))]
             sizes = np.array([len(x) for x in ids], np.int64)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             flat = np.concatenate([*ids, np.zeros(0, np.uint32)]).view(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            places = pa.array(np.arange(place, place + len(sizes)))
+            place += len(sizes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), batch.column("shard"), lists], ["doc_id", "n_tokens", "shard", "ids"]
+                [batch.column("doc_id"), pa.array(sizes), batch.column("shard"), lists, places], ["doc_id", "n_tokens", "shard", "ids", "place"]
             )
 
     order = [F.col("doc_id"), F.xxhash64("text")]
@@ -70,7 +73,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 def stored_documents(table: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every stored document, by reading the ids back.
 
-    ``start`` is the number of ids before the document's: sums per shard, one row
+    ``start`` is the number of ids before the document's in the files' order: sums per shard, one row
     each and from the metadata columns alone, and a running sum within a shard.
     Ids are checked where they lie; only numbers are shuffled.
     """
@@ -82,14 +85,14 @@ def stored_documents(table: DataFrame) -> DataFrame:
             at = lists.offsets.to_numpy()
             sums = [crc(values[a:b].tobytes()) for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("shard"), pa.array(np.diff(at), pa.int64()), pa.array(sums, pa.int64())],
-                ["doc_id", "shard", "n_tokens", "ids_crc32"],
+                [batch.column("doc_id"), batch.column("shard"), batch.column("place"), pa.array(np.diff(at), pa.int64()), pa.array(sums, pa.int64())],
+                ["doc_id", "shard", "place", "n_tokens", "ids_crc32"],
             )
 
     sums = table.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     before = sums.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
-    own = table.select("doc_id", "shard", "ids").mapInArrow(check, "doc_id bigint, shard int, n_tokens bigint, ids_crc32 bigint")
-    order = Window.partitionBy("shard").orderBy("doc_id", "n_tokens", "ids_crc32")
+    own = table.select("doc_id", "shard", "place", "ids").mapInArrow(check, "doc_id bigint, shard int, place bigint, n_tokens bigint, ids_crc32 bigint")
+    order = Window.partitionBy("shard").orderBy("place")
     inner = F.coalesce(F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return own.withColumn("inner", inner).join(before, "shard").select(
         "doc_id", (F.col("inner") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
