@@ -1,32 +1,36 @@
 """Token ids of whole texts by a public word-level BPE vocabulary, cached per distinct word.
 
 The vocabulary lower-cases, drops white space and cuts nothing across it, so a
-text's ids are the ids of its white-space separated parts, one after the other. A
-full stop or comma after a letter is a piece of its own there, and is parted from
-its word first. Parts repeat: each worker encodes a distinct part once and keeps
-its ids as bytes.
+text's ids are the ids of its white-space separated parts, one after the other. Parts
+repeat: each worker encodes a distinct part once and keeps its ids as bytes. A
+full stop or comma after a letter is a piece of its own there, so a part that ends so
+takes the ids of its word, and the sign's. Parts not met before are encoded many at a time, as one
+text in which the name of a special token stands between them.
 """
 
 from __future__ import annotations
 
 import os
-import re
-import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 
 from millrace.llm.common import one
 
 END_ID = 2
-CACHE_PARTS = 1_000_000  # parts kept by a worker; beyond that the cache starts anew
-_MARK = re.compile(rb"(?<=[a-z])(?=[.,](?:[\x20\x09-\x0D]|\Z))")
+CACHE_PARTS = 1_000_000  # parts kept by a worker; beyond that only the short ones stay
 _VOCABULARIES: dict[str, PartEncoder] = {}
 # White space by which bytes.split() cuts is fixed: ``[\x20\x09-\x0D]``; the
 # pre-tokenizer drops all of it.
 _LONG = 200  # bytes; longer parts are encoded but not kept
+_SHORT = 9  # bytes of parts that stay when the cache is full: the frequent ones
 _AT_ONCE = 2 << 20  # bytes of text cut into parts at once
+_TOGETHER = 256  # parts encoded as one text
+_SEPARATOR = "<|endoftext|>"  # fixed value: a special token of the vocabulary
+_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 
 
 class PartEncoder:
@@ -35,28 +39,65 @@ class PartEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.separator = self.tokenizer.token_to_id(_SEPARATOR)
         self.cache: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, without the end."""
         parts = [_parts(t) for t in texts]
-        missing = list(set().union(*parts).difference(self.cache))
-        if len(self.cache) + len(missing) > CACHE_PARTS:
-            self.cache.clear()
-            missing = list(set().union(*parts))
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in missing], add_special_tokens=False)
-        self.cache.update((p, struct.pack(f"<{len(e.ids)}I", *e.ids)) for p, e in zip(missing, found))
-        out = [b"".join(map(self.cache.__getitem__, p)) for p in parts]
-        for p in missing:
-            if len(p) > _LONG:
-                del self.cache[p]
+        flat = list(chain.from_iterable(parts))
+        found = list(map(self.cache.get, flat))
+        gaps = [i for i, x in enumerate(found) if x is None]
+        if gaps:
+            new = self._learn({flat[i] for i in gaps})
+            for i in gaps:
+                found[i] = new[flat[i]]
+        out, at = [], 0
+        for p in parts:
+            out.append(b"".join(found[at : at + len(p)]))
+            at += len(p)
         return out
 
+    def _learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of the missing parts, which the cache keeps unless they are long."""
+        ended = {p for p in missing if len(p) > 1 and p[-1] in b".," and p[-2] in _LETTERS and b"<|" not in p}
+        words = {p[:-1] for p in ended}.union((b".", b",") if ended else ())
+        whole = [p for p in missing.difference(ended).union(words) if p not in self.cache]
+        new = dict(zip(whole, self._encode(whole)))
+
+        def of(p: bytes) -> bytes:
+            return new[p] if p in new else self.cache[p]
+
+        new.update([(p, of(p[:-1]) + of(p[-1:])) for p in ended])
+        kept = {p: x for p, x in new.items() if len(p) <= _LONG}
+        if len(self.cache) + len(kept) > CACHE_PARTS:
+            self.cache = {p: x for p, x in self.cache.items() if len(p) <= _SHORT}
+            if len(self.cache) + len(kept) > CACHE_PARTS:
+                self.cache = {}
+        self.cache.update(kept)
+        return new
+
+    def _encode(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of each part. A part with the mark of special tokens in it is a text of its own."""
+        plain = [p for p in parts if b"<|" not in p]
+        chunks = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
+        joined = self.tokenizer.encode_batch_fast([_SEPARATOR.join(p.decode() for p in c) for c in chunks], add_special_tokens=False)
+        out = {}
+        for chunk, encoding in zip(chunks, joined):
+            ids = np.array(encoding.ids, "<u4")
+            cuts = np.flatnonzero(ids == self.separator)
+            raw = ids.tobytes()
+            starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)]
+            out.update((p, raw[a:b]) for p, a, b in zip(chunk, starts, ends, strict=True))
+        odd = [p for p in parts if b"<|" in p]
+        alone = self.tokenizer.encode_batch_fast([p.decode() for p in odd], add_special_tokens=False)
+        out.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(odd, alone))
+        return [out[p] for p in parts]
+
 
 def _parts(text: bytes) -> list[bytes]:
-    if b"<|" not in text:  # names of special tokens are cased, and looked for first
-        text = _MARK.sub(b" ", text.lower())
-    return text.split()
+    # Names of special tokens are cased, and looked for first.
+    return (text.lower() if b"<|" not in text else text).split()
 
 
 def encoder(path: str) -> PartEncoder:

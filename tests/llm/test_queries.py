@@ -7,13 +7,14 @@ import zlib
 from html import unescape
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from compare import difference
-from millrace.llm import blocks, components, counts, decontaminate, pii, quality_rules, url_filters, wrappers
+from millrace.llm import blocks, components, counts, decontaminate, pii, quality_rules, tokens, url_filters, wrappers
 from millrace.llm.interpolated_lm import interpolated_lm, mixture_weights
 from millrace.llm.ngram_join import drop_near_duplicates, ngram_jaccard_join
 from millrace.llm.packing import best_fit_decreasing, pack, sequences
@@ -243,6 +244,56 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
+def test_encoder_is_exact(monkeypatch, docs, odd_docs):
+    """Part by part and cached against the tokenizer on whole texts, also with a cache that is always full."""
+    rng = np.random.default_rng(21)
+    pieces = ["a", "b.", "c,", "D", "it's.", "x", "1.", "2", ").", "..", ".", ",", "é.", "ß,", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>.", "<|", "|>", " ", "  ", "\n", "\t", "\x0b", "\u00a0", "\u2003", "\x1f", "\x00", "İ", "don't,", "😀", "中文。", "'ll", "a.b", "a.,", "z" * 300 + "."]
+    rows = ["".join(pieces[k] for k in rng.integers(0, len(pieces), rng.integers(0, 14))) for _ in range(6000)]
+    rows += [r.text or "" for frame in (docs, odd_docs) for r in frame.collect()]
+    tokenizer = Tokenizer.from_file(vocabulary())
+    expected = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(rows, add_special_tokens=False)]
+    for most in (tokens.CACHE_PARTS, 50):
+        monkeypatch.setattr(tokens, "CACHE_PARTS", most)
+        own = tokens.PartEncoder(vocabulary())
+        found = [x for i in range(0, len(rows), 700) for x in own.ids([t.encode() for t in rows[i : i + 700]])]
+        wrong = [t for t, x, y in zip(rows, found, expected, strict=True) if x != y]
+        assert wrong == []  # a full cache holds what one call brought
+
+
+def test_id_ranges_prune_row_groups_and_metadata_reads_skip_ids(spark, tmp_path):
+    frame = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.array_repeat(F.concat(F.lit("w"), "id"), 40)).alias("text"))
+    for encoding in ("dictionary", "delta"):
+        path = str(tmp_path / encoding)
+        write_token_table(frame.coalesce(1), path, vocabulary(), encoding=encoding, row_group_bytes=16 << 10, page_bytes=4 << 10)
+        files = sorted((tmp_path / encoding).glob("*.parquet"))
+        groups = [pq.ParquetFile(f).metadata.row_group(g) for f in files for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
+        spans = sorted((g.column(0).statistics.min, g.column(0).statistics.max) for g in groups)
+        assert len(spans) > 2 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))  # an id lies in one row group
+        hit = [s for s in spans if s[0] <= 1234 <= s[1]]
+        assert len(hit) == 1 and all(g.column(0).has_offset_index and g.column(0).has_column_index for g in groups)
+        kinds = {str(e) for g in groups for e in g.column(3).encodings}
+        assert ("DELTA_BINARY_PACKED" in kinds) == (encoding == "delta") and any("DICTIONARY" in k for k in kinds) == (encoding == "dictionary")
+        some = read_tokens(spark, path).filter("doc_id BETWEEN 1230 AND 1240")
+        assert some.count() == 11
+        text = some._jdf.queryExecution().toString()
+        assert "GreaterThanOrEqual(doc_id,1230)" in text
+        meta = read_tokens(spark, path).groupBy("shard").agg(F.sum("n_tokens"))._jdf.queryExecution().toString()
+        assert re.search(r"ReadSchema: struct<n_tokens:bigint,shard:int>", meta)
+
+
+def test_starts_of_repeated_ids_are_places_in_the_file(spark, encode):
+    rows = [(7, f"text {k} " * (1 + k % 5)) for k in range(40)] + [(3, "a b"), (3, "a"), (None, "x y z"), (9, None)]
+    path = new_folder(spark, "tokens")
+    write_token_table(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), path, vocabulary())
+    table = read_tokens(spark, path)
+    stored = [r.ids for r in table.orderBy("shard", "place").collect()]
+    found = sorted(stored_documents(table).collect(), key=lambda r: r.start)
+    at = 0
+    for r, ids in zip(found, stored, strict=True):
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), crc(ids))
+        at += len(ids)
+
+
 def test_token_table_round_trip(spark, docs, odd_docs, encode):
     for frame, encoding in ((docs, "dictionary"), (odd_docs, "delta")):
         path = new_folder(spark, "tokens")
