@@ -23,16 +23,18 @@ REQUESTS = "range int, block bigint, kind int, keys binary, counts binary"
 TOTALS = "block bigint, range int, kind int, totals binary, n_keys bigint, n_all bigint"
 
 
-RANGE_BYTES = 8 << 20  # of text whose keys one range gets
+RANGE_BYTES = 16 << 20  # of text whose keys one range gets
 
 
 def planes(values: np.ndarray) -> bytes:
-    """64-bit numbers as their highest bytes, then the next ones, down to the lowest."""
-    return values.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """64-bit numbers as their highest bytes, then the next ones, down to the lowest; compressed."""
+    raw = values.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def of_planes(data: bytes) -> np.ndarray:
-    columns = np.frombuffer(data, np.uint8).reshape(8, -1)
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    columns = np.frombuffer(raw, np.uint8).reshape(8, -1)
     return np.ascontiguousarray(columns.T).view(">u8").ravel().astype(np.uint64)
 
 
