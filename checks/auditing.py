@@ -238,9 +238,7 @@ def _(spark, sf):
 
 def audited(spark, sf):
     """A load of one model: bronze orders into silver, in the batch of the test."""
-    model = spark.range(1).select(
-        F.lit("m1").alias("model_id"), F.lit("g").alias("model_grp"), F.lit("shop").alias("pipeline_name")
-    )
+    model = models(spark, sf).where("model_id = 'm1'")
 
     def build(state):
         since = state.select("inc_load_ts")

@@ -178,6 +178,12 @@ class WrittenMetrics:
             F.count_if(mine & (load < update)).alias("rows_updated"),
         ]
 
+    def columns(self) -> dict[str, Column]:
+        """The metrics as literals; without a written row there is no source time and the counts are 0."""
+        seen = self._seen.get
+        counts = {c: F.lit(seen[c] or 0).cast("long") for c in ("rows_inserted", "rows_updated")}
+        return {"src_load_ts": as_ts(seen["src_load_ts"])} | counts
+
     def frame(self, spark: SparkSession) -> DataFrame:
         seen = self._seen.get
         row = (str(self.batch_id), seen["src_load_ts"], seen["rows_inserted"], seen["rows_updated"])

@@ -492,10 +492,8 @@ def audited_load(
     running = start_models(init_model_audit(audit, model, batch_id), model, batch_id, started)
     taken = WrittenMetrics(batch_id, ts_col)
     target = save_state(build(model_state(running, model, batch_id)), path, observe=taken.observe, **saving)
-    metrics = taken.frame(target.sparkSession)
-    named = model.select(*MODEL_KEYS, as_batch(batch_id).alias("batch_id")).join(metrics, "batch_id", "left")
-    counts = {c: F.coalesce(c, F.lit(0)) for c in ("rows_inserted", "rows_updated")}
-    return AuditedLoad(target, finish_models(running, named.withColumns(counts), finished), metrics)
+    named = model.select(*MODEL_KEYS, as_batch(batch_id).alias("batch_id")).withColumns(taken.columns())
+    return AuditedLoad(target, finish_models(running, named, finished), taken.frame(target.sparkSession))
 
 
 # Changes of type-2 versions up to this number are broadcast; a row has some hundred bytes.

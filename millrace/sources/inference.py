@@ -82,8 +82,8 @@ def _reference(columns: DataFrame) -> DataFrame:
 
 def clashing_files(columns: DataFrame) -> DataFrame:
     """(file, columns) of the files whose header isn't that of most."""
-    with_reference = columns.select("file", "columns").distinct().join(F.broadcast(_reference(columns)), how="cross")
-    return with_reference.where(F.col("columns") != F.col("_reference")).select("file", "columns")
+    per_file = columns.select("file", "columns").distinct()
+    return per_file.join(F.broadcast(_reference(columns)), F.col("columns") == F.col("_reference"), "left_anti")
 
 
 def merged_columns(columns: DataFrame) -> DataFrame:
