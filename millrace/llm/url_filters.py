@@ -62,15 +62,18 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     n = own.count() // BLOCK_RULES + 1
     blocks = [F.broadcast(own.filter(F.pmod(F.xxhash64("rule"), F.lit(n)) == k)) for k in range(n)]
 
+    # Names that no column of ``pages`` has, whatever its columns are called.
+    asked_url, found = (next(n for n in (f"{x}{'_' * k}" for k in range(1, len(pages.columns) + 2)) if n not in pages.columns) for x in ("url", "found"))
     url = F.coalesce(F.col("u"), F.lit(""))
     urls = pages.select(F.col(url_col).alias("u")).filter("u IS NOT NULL").distinct()
     asked = urls.select("u", F.explode(expressions(url_host(url), url_path(url))).alias("e")).withColumn("full", F.sha2("e", 256))
     asked = asked.withColumn("short", F.substring("full", 1, _PREFIX))
     fits = reduce(DataFrame.union, [asked.join(b, "short").filter("full = digest").select("u", "rule", "verdict") for b in blocks])
-    best = fits.groupBy("u").agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "rule")).alias("best"))
+    best = F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "rule")).alias(found)
+    best = fits.groupBy(F.col("u").alias(asked_url)).agg(best)
     whole = F.coalesce(F.col(url_col), F.lit(""))
-    return pages.join(best, F.col(url_col) == F.col("u"), "left").select(
+    return pages.join(best, F.col(url_col) == F.col(asked_url), "left").select(
         *pages.columns,
         url_host(whole).alias(f"{prefix}host"), url_path(whole).alias(f"{prefix}path"),
-        F.col("best.rule").alias(f"{prefix}rule"), F.coalesce("best.verdict", F.lit(default)).alias(f"{prefix}verdict"),
+        F.col(f"{found}.rule").alias(f"{prefix}rule"), F.coalesce(f"{found}.verdict", F.lit(default)).alias(f"{prefix}verdict"),
     )

@@ -490,7 +490,7 @@ def test_decontamination_and_urls_on_odd_rows(spark, odd_docs):
     assert decontaminate.drop_contaminated(odd_docs, empty).count() == odd_docs.count()
     rules = spark.createDataFrame([("com/", "allow"), ("a.com/x/", "block"), ("a.com/x/", "allow"), (None, "block")], "rule string, verdict string")
     urls = [("http://b.A.com/x/y?z",), ("http://a.com",), ("ftp://a.com/x",), (None,), ("nothing",), ("http:///x/",)]
-    pages = spark.createDataFrame([(*u, 1, "r") for u in urls], "url string, host int, rule string")
+    pages = spark.createDataFrame([(*u, 1, "r", "u", "b", 2) for u in urls], "url string, host int, rule string, u string, best string, url_ int")
     found = {r.url: (r.url_host, r.url_path, r.url_rule, r.url_verdict) for r in url_filters.filter_urls(pages, rules).collect()}
     assert found["http://b.A.com/x/y?z"] == ("b.a.com", "/x/y", "a.com/x/", "block")
     assert found["http://a.com"] == ("a.com", "", None, "allow") and found["ftp://a.com/x"] == ("a.com", "/x", "com/", "allow")
