@@ -20,11 +20,13 @@ whatever their number. Pages of a large host are dealt into parts, each of which
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +38,8 @@ from millrace.session import stage
 MAX_REFERENCES = 200_000  # keys of reference pages, and large hosts, broadcast up to this number
 REFERENCES = 3  # pages of a host that the others are aligned with
 HOST_PART = 500  # pages of a host dealt to one part
-MATCH_CELLS = 1_000_000  # children times children matched exactly; beyond that equal ends first, then in order
+MATCH_CELLS = 1_000_000  # cells kept of a table of children; of a larger one they are computed again on the way back
+WIDE = 32  # children from which on a row of the matching is computed by numpy, with the same numbers
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template iframe xmp".split())
@@ -85,7 +88,7 @@ _PARTS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "items", "kids", "dropped", "named", "own", "size", "digest")
+    __slots__ = ("tag", "items", "kids", "dropped", "named", "own", "size", "shape", "digest")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag = tag
@@ -95,6 +98,7 @@ class Node:
         self.named = bool(attributes) and tag not in _NEVER_NAMED and _boilerplate(attributes)
         self.own = ""
         self.size = 1
+        self.shape = 0
         self.digest = 0
 
     def add(self, node: Node) -> None:
@@ -203,6 +207,7 @@ def _summarise(root: Node) -> None:
     for node in nodes:
         node.own = " ".join("".join(x if isinstance(x, str) else " " for x in node.items).split())
         node.size = 1 + sum(k.size for k in node.kids)
+        node.shape = hash((node.tag, *[k.shape for k in node.kids]))
         node.digest = hash((node.tag, node.own, tuple(k.digest for k in node.kids)))
         text[id(node)] = 0 if node.dropped else len(node.own) + sum(text[id(k)] for k in node.kids)
         paragraphs[id(node)] = not node.dropped and (node.tag in _PARAGRAPHS or any(paragraphs[id(k)] for k in node.kids))
@@ -220,105 +225,139 @@ def align(a: Node, b: Node, constant: set[int]) -> int:
     return len(pairs)
 
 
-def _comparable(a: Node, b: Node) -> tuple[int, int]:
-    """Equal children at both ends that need no table, if the table would be too large."""
-    if len(a.kids) * len(b.kids) <= MATCH_CELLS:
-        return 0, 0
+def _ends(a: Node, b: Node) -> tuple[int, int]:
+    """How many children are equal at both ends. They match each other: no matching is larger without them."""
     n = min(len(a.kids), len(b.kids))
     head = next((i for i in range(n) if a.kids[i].digest != b.kids[i].digest), n)
     tail = next((i for i in range(n - head) if a.kids[-1 - i].digest != b.kids[-1 - i].digest), n - head)
     return head, tail
 
 
-def _weights(a: Node, b: Node) -> dict[tuple[int, int], list[list[int]]]:
-    """Tables of all pairs of inner nodes below (a, b) that can match, filled from the leaves up.
+def _alike(xs: list[Node], ys: list[Node]) -> int:
+    """How many nodes at the start have equal shapes, in order: the way back through the table pairs them too."""
+    n = min(len(xs), len(ys))
+    return next((i for i in range(n) if xs[i].shape != ys[i].shape), n)
 
-    A pair is met below one pair only, that of its parents.
+
+def _weights(a: Node, b: Node) -> dict[tuple[int, int], int]:
+    """Sizes of the largest matchings of all pairs of shapes below (a, b) that can meet, smaller shapes first.
+
+    A size depends on the two shapes only, however many nodes have them.
     """
-    tables: dict[tuple[int, int], list[list[int]]] = {}
-    found, open_pairs = [], [(a, b)]
+    sizes: dict[tuple[int, int], int] = {}
+    found, open_pairs, seen = [], [(a, b)], set()
     while open_pairs:
         x, y = open_pairs.pop()
-        if x.kids and y.kids:
-            found.append((x, y))
-            open_pairs.extend(_met(x, y))
-    for x, y in reversed(found):
-        _table(x, y, tables)
-    return tables
+        found.append((x, y))
+        for pair in _met(x, y):
+            key = pair[0].shape, pair[1].shape
+            if key not in seen:
+                seen.add(key)
+                open_pairs.append(pair)
+    found.sort(key=lambda pair: pair[0].size + pair[1].size)
+    for x, y in found[:-1]:  # the last is (a, b) itself
+        head = _alike(x.kids, y.kids)
+        for row in _rows(x.kids[head:], y.kids[head:], sizes):
+            most = int(row[-1])
+        sizes[x.shape, y.shape] = 1 + sum(k.size for k in x.kids[:head]) + most
+    return sizes
 
 
 def _met(x: Node, y: Node) -> Iterator[tuple[Node, Node]]:
-    head, tail = _comparable(x, y)
-    xs, ys = x.kids[head : len(x.kids) - tail], y.kids[head : len(y.kids) - tail]
-    if len(xs) * len(ys) > MATCH_CELLS:
-        yield from ((p, q) for p, q in zip(xs, ys) if p.tag == q.tag)
-        return
-    by_tag: dict[str, list[Node]] = {}
+    """One pair of children with children for each two unequal shapes of one tag."""
+    head = _alike(x.kids, y.kids)
+    xs, ys = x.kids[head:], y.kids[head:]
+    by_tag: dict[str, dict[int, Node]] = {}
     for q in ys:
         if q.kids:
-            by_tag.setdefault(q.tag, []).append(q)
-    for p in xs:
-        if p.kids:
-            yield from ((p, q) for q in by_tag.get(p.tag, ()))
+            by_tag.setdefault(q.tag, {})[q.shape] = q
+    for p in {p.shape: p for p in xs if p.kids}.values():
+        yield from ((p, q) for q in by_tag.get(p.tag, {}).values() if q.shape != p.shape)
 
 
-def _weight(x: Node, y: Node, tables: dict) -> int:
+def _weight(x: Node, y: Node, sizes: dict[tuple[int, int], int]) -> int:
+    if x.shape == y.shape:
+        return x.size
     if x.tag != y.tag:
         return 0
-    if not x.kids or not y.kids:
-        return 1
-    rows = tables.get((id(x), id(y)))
-    return (rows[-1][-1] if rows else 0) + 1
-
-
-def _table(x: Node, y: Node, tables: dict) -> None:
-    head, tail = _comparable(x, y)
-    xs, ys = x.kids[head : len(x.kids) - tail], y.kids[head : len(y.kids) - tail]
-    ends = sum(k.size for k in (*x.kids[:head], *x.kids[len(x.kids) - tail :]))
-    if len(xs) * len(ys) > MATCH_CELLS:
-        tables[id(x), id(y)] = [[ends + sum(_weight(p, q, tables) for p, q in zip(xs, ys))]]
+    return sizes[x.shape, y.shape] if x.kids and y.kids else 1
+
+
+def _rows(xs: list[Node], ys: list[Node], sizes: dict, above: Sequence[int] | None = None) -> Iterator[Sequence[int]]:
+    """Rows of the table of largest matchings of the first i of ``xs`` with the first j of ``ys``, from
+    ``above`` on (the row of no child)."""
+    if len(ys) < WIDE:
+        above = above or [0] * (len(ys) + 1)
+        yield above
+        for p in xs:
+            row, best = [0], 0
+            for j, q in enumerate(ys):
+                w = above[j] + _weight(p, q, sizes) if p.tag == q.tag else 0
+                if above[j + 1] > best:
+                    best = above[j + 1]
+                if w > best:
+                    best = w
+                row.append(best)
+            yield row
+            above = row
         return
-    rows = [[0] * (len(ys) + 1)]
+    above = np.zeros(len(ys) + 1, np.int32) if above is None else above
+    yield above
+    places: dict[int, int] = {}
+    shape_of = np.array([places.setdefault(q.shape, len(places)) for q in ys])
+    kinds = list({q.shape: q for q in reversed(ys)}.values())
+    kinds.sort(key=lambda q: places[q.shape])
+    last, weights = None, None
     for p in xs:
-        above, row, best = rows[-1], [0], 0
-        for j, q in enumerate(ys):
-            w = above[j] + _weight(p, q, tables) if p.tag == q.tag else 0
-            if above[j + 1] > best:
-                best = above[j + 1]
-            if w > best:
-                best = w
-            row.append(best)
-        rows.append(row)
-    if ends:
-        rows = [[v + ends for v in row] for row in rows]
-    tables[id(x), id(y)] = rows
+        if p.shape != last:
+            last, weights = p.shape, np.array([_weight(p, q, sizes) for q in kinds], np.int32)[shape_of]
+        row = np.zeros_like(above)
+        np.maximum.accumulate(np.maximum(above[1:], above[:-1] + weights), out=row[1:])
+        yield row
+        above = row
+
+
+def _in_order(xs: list[Node], ys: list[Node], sizes: dict) -> Iterator[tuple[Node, Node]]:
+    """The pairs of the largest matching of two lists of children, last first.
+
+    Of a large table every ``step``-th row is kept, and those between are computed again on the way
+    back: memory grows with the root of its height, and two lists of any length are matched exactly.
+    """
+    i, j = len(xs), len(ys)
+    if not i or not j:
+        return
+    if i * j <= MATCH_CELLS:
+        start, rows = 0, list(_rows(xs, ys, sizes))
+    else:
+        start, rows, step = i, [], math.isqrt(i)
+        kept = [row for k, row in enumerate(_rows(xs, ys, sizes)) if k % step == 0]
+    while i and j:
+        if i - 1 < start:
+            start = (i - 1) // step * step
+            rows = list(_rows(xs[start:i], ys, sizes, kept[start // step]))
+        here, above = rows[i - start], rows[i - 1 - start]
+        if here[j] == above[j]:
+            i -= 1
+        elif here[j] == here[j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            yield xs[i], ys[j]
 
 
 def _matching(a: Node, b: Node) -> list[tuple[Node, Node]]:
-    tables = _weights(a, b)
+    sizes = _weights(a, b)
     pairs, open_pairs = [], [(a, b)]
     while open_pairs:
         x, y = open_pairs.pop()
         pairs.append((x, y))
-        if not x.kids or not y.kids:
-            continue
-        head, tail = _comparable(x, y)
-        open_pairs.extend(zip(x.kids[:head], y.kids[:head]))
-        open_pairs.extend(zip(x.kids[len(x.kids) - tail :], y.kids[len(y.kids) - tail :]))
-        xs, ys = x.kids[head : len(x.kids) - tail], y.kids[head : len(y.kids) - tail]
-        if len(xs) * len(ys) > MATCH_CELLS:
-            open_pairs.extend((p, q) for p, q in zip(xs, ys) if p.tag == q.tag)
-            continue
-        rows = tables[id(x), id(y)]
-        i, j = len(xs), len(ys)
-        while i and j:
-            if rows[i][j] == rows[i - 1][j]:
-                i -= 1
-            elif rows[i][j] == rows[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                open_pairs.append((xs[i], ys[j]))
+        if x.kids and y.kids:
+            head, tail = _ends(x, y)
+            xs, ys = x.kids[head : len(x.kids) - tail], y.kids[head : len(y.kids) - tail]
+            open_pairs.extend(zip(x.kids[len(x.kids) - tail :], y.kids[len(y.kids) - tail :]))
+            head += (alike := _alike(xs, ys))
+            open_pairs.extend(zip(x.kids[:head], y.kids[:head]))
+            open_pairs.extend(_in_order(xs[alike:], ys[alike:], sizes))
     return pairs
 
 

@@ -468,6 +468,25 @@ def test_tree_matching_against_brute_force(monkeypatch):
     assert wrappers.align(a, b, constant) == 41 and len(constant) == 41
 
 
+def test_long_lists_of_children_match_as_short_ones_do(monkeypatch):
+    rng = np.random.default_rng(13)
+    kinds = "<p>{}</p>", "<ul><li>{}</li><li>b</li></ul>", "<table><tr><td>{}</td></tr></table>", "<ul><li>{}</li></ul>", "<p>{}<b>c</b></p>"
+
+    def page(n):
+        return wrappers.parse("<div>" + "".join(kinds[rng.integers(0, 5)].format(rng.integers(0, 3)) for _ in range(n)) + "</div>")
+
+    for n in (7, 20, 50):  # narrow rows and wide ones
+        a, b = page(n), page(n + 3)
+        found = []
+        for cells in (1_000_000, 30):
+            monkeypatch.setattr(wrappers, "MATCH_CELLS", cells)
+            constant = set()
+            found.append((wrappers.align(a, b, constant), constant))
+        assert found[0] == found[1]
+        if n == 7:
+            assert found[0][0] == tree_weight(a, b)
+
+
 def test_many_siblings_and_many_pages_of_a_host(spark, monkeypatch):
     wide = "<body><div>" + "".join(f"<p>{{}} {i}</p>" for i in range(3000)) + "</div>"
     pages = [(k, "http://w.example.com/", re.sub("{}", f"w{k}", wide)) for k in range(2)]
