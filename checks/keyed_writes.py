@@ -35,7 +35,7 @@ from millrace.operators.merge import (
 )
 from millrace.operators.deletes import apply_hard_delete
 from millrace.session import new_folder
-from millrace.sources import save_bucketed, save_partitions, save_state, touched_partitions
+from millrace.sources import bucket_count, save_bucketed, save_partitions, save_state, touched_partitions
 from millrace.sources.files import const_table, table_ref_filter
 from millrace.streaming import VersionedTable, apply_new_files
 
@@ -279,9 +279,10 @@ def _(spark, sf):
 def bucketed_merge(spark, sf):
     """Orders in buckets of their key, with the new ones merged: the table after it, in buckets again."""
     name = "orders_" + uuid.uuid4().hex
-    target = save_bucketed(silver(spark, sf), f"{name}_old", new_folder(spark, "bucketed"), ["k"], 8)
+    buckets = bucket_count(all_orders(spark, sf), 8)
+    target = save_bucketed(silver(spark, sf), f"{name}_old", new_folder(spark, "bucketed"), ["k"], buckets)
     merged = merge_upsert(target, new_rows(spark, sf), ["k"], preserve_load_ts=True)
-    return save_bucketed(merged, f"{name}_new", new_folder(spark, "bucketed"), ["k"], 8)
+    return save_bucketed(merged, f"{name}_new", new_folder(spark, "bucketed"), ["k"], buckets)
 
 
 @query("merge_upsert_bucketed", "SELECT * FROM merged", "o silver bronze merged", ids=("batch_id",))

@@ -1,4 +1,4 @@
-from millrace.sources.bucketed import open_bucketed, save_bucketed
+from millrace.sources.bucketed import bucket_count, open_bucketed, save_bucketed
 from millrace.sources.files import (
     const_table,
     infer_file_schema,
@@ -10,6 +10,7 @@ from millrace.sources.files import (
 from millrace.sources.sinks import save_partitions, save_state, touched_partitions
 
 __all__ = [
+    "bucket_count",
     "const_table",
     "infer_file_schema",
     "load_files_by_name",

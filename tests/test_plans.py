@@ -20,7 +20,7 @@ from millrace.operators.latest import latest_by_rank
 from millrace.operators.merge import merge_upsert
 from millrace.operators.numbering import lead_next_start, row_number_per_key
 from millrace.session import new_folder
-from millrace.sources import open_bucketed, save_bucketed
+from millrace.sources import bucketed, open_bucketed, save_bucketed
 
 
 def plan(df) -> str:
@@ -172,6 +172,16 @@ def lines_above(text: str, pattern: str) -> list[str]:
     return out
 
 
+def test_a_larger_table_has_more_buckets(spark, sf_dir, monkeypatch):
+    rows = QUERIES["merge_upsert_bucketed"](spark, sf_dir).count()
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 100)
+    large = QUERIES["merge_upsert_bucketed"](spark, sf_dir)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    files = {re.search(r"_(\d{5})\.", f.rsplit("/", 1)[1])[1] for f in large.inputFiles()}
+    assert large.count() == rows and 8 < orders // 100 >= len(files) > 8
+    assert bucketed.bucket_count(spark.range(1001)) == 11 and bucketed.bucket_count(spark.range(0), 8) == 8
+
+
 def test_a_large_increment_leaves_bucketed_targets_where_they_are(spark, sf_dir):
     """Merge, write back and delete: only the increment is shuffled, with broadcasts off."""
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
