@@ -32,6 +32,7 @@ class KeyRegistry:
         (
             df.write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
             .partitionBy("load")
             .parquet(f"{self.path}/{name}")
         )

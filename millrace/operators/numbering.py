@@ -32,7 +32,7 @@ def _ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    return stage(placed, "ranged").withColumn("_part", F.shiftright("_place", _ROW_BITS))
+    return stage(placed, "ranged", "zstd").withColumn("_part", F.shiftright("_place", _ROW_BITS))
 
 
 def _per_range(carries: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def _addressed(
     """
     if unique_order:
         return df, list(order_cols), list(order_cols)
-    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "rows", "zstd")
     return rows, ["_row"], [*order_cols, "_row"]
 
 

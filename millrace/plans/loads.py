@@ -560,7 +560,7 @@ def scd2_load(
             "etl_updt_ts": as_ts(load_ts),
         }
     )
-    versions = stage(conform(versions, dim.schema), "scd2-versions")
+    versions = stage(conform(versions, dim.schema), "scd2-versions", "zstd")
     if registry is not None:
         registry.extend(versions, load, sk)
 
@@ -573,6 +573,7 @@ def scd2_load(
     changes = stage(
         version_changes(among.unionByName(versions), sk, seq, deleted=deleted, deleted_on=on if deleted is not None else ()),
         "scd2-changes",
+        "zstd",
     )
     on = on if deleted is not None else []
     if changes.limit(broadcast_changes + 1).count() <= broadcast_changes:

@@ -4,6 +4,7 @@ Expected values come from brute force in Python.
 """
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -29,7 +30,7 @@ from millrace.operators.scd2 import (
     version_changes,
 )
 from millrace.plans.loads import scd2_load
-from millrace.session import new_folder
+from millrace.session import new_folder, stage
 from millrace.functions.columns import hash_key
 
 T1, T2, T3, T4 = (dt.datetime(2024, 1, d) for d in (1, 2, 3, 4))
@@ -291,3 +292,13 @@ def test_split_live_is_a_partition(frame):
 def test_hashes_are_what_the_load_uses(frame):
     df = frame("id string", (" a ",))
     assert df.select(hash_key(["id"]).alias("h")).where(F.col("h") == F.sha2(F.lit("A"), 256)).count() == 1
+
+
+def test_hashes_are_staged_compressed(spark):
+    df = spark.range(3000).select((F.col("id") % 7).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    numbered = row_number_per_key(df, ["k"], ["h"], "rn", unique_order=True)
+    staged = [f for f in numbered.inputFiles() if "/ranged-" in f]
+    assert staged and all(f.endswith(".zstd.parquet") for f in staged)
+    sizes = [sum(os.path.getsize(f.removeprefix("file://").removeprefix("file:")) for f in stage(df, codec=c).inputFiles()) for c in ("snappy", "zstd")]
+    assert sizes[1] < 0.7 * sizes[0]
+    assert numbered.where("rn = 1").count() == 7
