@@ -260,6 +260,45 @@ def test_encoder_is_exact(monkeypatch, docs, odd_docs):
         assert wrong == []  # a full cache holds what one call brought
 
 
+def test_encoder_looks_up_distinct_parts_and_encodes_each_word_once():
+    class Lookups(dict):
+        def get(self, *key):
+            asked.append(key[0])
+            return super().get(*key)
+
+    class Recorder:
+        def encode_batch_fast(self, rows, **more):
+            sent.extend(rows)
+            return tokenizer.encode_batch_fast(rows, **more)
+
+    asked, sent = [], []
+    own, tokenizer = tokens.PartEncoder(vocabulary()), Tokenizer.from_file(vocabulary())
+    own.cache, own.tokenizer = Lookups(), Recorder()
+    parts = ["gesté", "gesté.", "gesté***", "(gesté)", "it's", "it", "a.b", "12"]
+    rows = [" ".join(parts[k:] + parts[:k]) for k in range(8)] * 50
+    found = own.ids([t.encode() for t in rows])
+    assert found == [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(rows, add_special_tokens=False)]
+    assert sorted(asked) == sorted(p.encode() for p in parts)  # not once per occurrence
+    assert sorted(" ".join(sent).split()) == sorted(["gesté", ".", "***", "(", ")", "it", "'s", "a", "b", "1", "2"])
+
+
+def test_pieces_are_cut_as_the_vocabulary_cuts_them():
+    rng = np.random.default_rng(22)
+    letters = [chr(c) for c in range(0xC0, 0x490)] + list("stremlvdSTREMLVD")  # some beyond those cut here, and marks
+    signs = [chr(c) for c in range(0x21, 0x7F)] + ["'"] * 20
+    rows = [f"{c} a{c}b {c}{c}. {c}'{c.upper()}" for c in letters] + ["J\u030c H\u0331, T\u0308ab", "x W\u030a"]
+    rows += ["".join(rng.choice(letters if rng.random() < 0.5 else signs) for _ in range(rng.integers(1, 12))) for _ in range(20000)]
+    tokenizer = Tokenizer.from_file(vocabulary())
+    expected = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(rows, add_special_tokens=False)]
+    own = tokens.PartEncoder(vocabulary())
+    found = own.ids([t.encode() for t in rows])
+    assert [t for t, x, y in zip(rows, found, expected, strict=True) if x != y] == []
+    own = tokens.PartEncoder(vocabulary())
+    own.ends[:] = False  # a vocabulary that doesn't mark them
+    assert own.ids([t.encode() for t in rows]) == expected
+    assert own.ids([]) == [] and own.ids([b"", b" \n ", b"a"]) == [b"", b"", np.array(tokenizer.encode("a").ids, "<u4").tobytes()]
+
+
 def test_id_ranges_prune_row_groups_and_metadata_reads_skip_ids(spark, tmp_path):
     frame = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.array_repeat(F.concat(F.lit("w"), "id"), 40)).alias("text"))
     for encoding in ("dictionary", "delta"):
