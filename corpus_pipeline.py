@@ -25,7 +25,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules; measured once, beside their columns, for both steps."""
-    measured = stage(quality_rules.measure(_ready(spark, docs)), "measured")
+    measured = stage(quality_rules.measure(_ready(spark, docs)), "measured", "zstd")
     judged = quality_rules.judge(measured, quality_rules.references(measured))
     return judged.filter("rule_kept").select(*docs.columns)
 

@@ -117,7 +117,8 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int, block_bytes: int = BLO
         return as_table(rows, _PREFIX_ARROW)
 
     asked = blocks.select("block", "packed").mapInArrow(ask, REQUESTS)
-    answers = asked.groupBy("range").applyInArrow(totals, TOTALS).filter("block IS NOT NULL")
+    # Staged, so that the keys' shuffle, about as large as the text, is gone before the blocks are moved.
+    answers = stage(asked.groupBy("range").applyInArrow(totals, TOTALS).filter("block IS NOT NULL"), "counts")
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(order, PREFIXES)
 
 

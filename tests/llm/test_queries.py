@@ -16,7 +16,7 @@ import corpus_pipeline
 from compare import difference
 from millrace.llm import blocks, components, counts, decontaminate, pii, quality_rules, tokens, url_filters, wrappers
 from millrace.llm.interpolated_lm import interpolated_lm, mixture_weights
-from millrace.llm.ngram_join import drop_near_duplicates, ngram_jaccard_join
+from millrace.llm.ngram_join import drop_near_duplicates, ngram_jaccard_join, prefixes
 from millrace.llm.packing import best_fit_decreasing, pack, sequences
 from millrace.llm.pairwise_quality import pairwise_quality
 from millrace.llm.queries import ORACLES, QUERIES, vocabulary
@@ -591,3 +591,16 @@ def test_pipeline_against_brute_force(spark, docs, sf_dir, encode):
     last = {r.doc_id: r.text for r in kept.collect()}
     pieces = corpus_pipeline.run(spark, sf_dir).collect()
     assert {(r.doc_id, r.doc_tokens) for r in pieces} == {(i, len(encode(t))) for i, t in last.items()}
+
+
+def test_near_duplicates_hold_one_shuffle_at_a_time(spark, docs):
+    """The exchange of keys is over, its shuffle gone, before the blocks are moved."""
+    base = docs.selectExpr("doc_id", "coalesce(text, '') AS text")
+    plan = prefixes(base, 5, 80, 100)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "FlatMapGroupsInArrow" not in plan
+
+
+def test_rules_stage_whole_texts_with_zstd(spark, docs, sf_dir):
+    files = corpus_pipeline.rules(spark, docs, sf_dir).inputFiles()
+    measured = [f for f in files if "/measured-" in f]
+    assert measured and all(".zstd." in f for f in measured)

@@ -1,6 +1,7 @@
 """Keyed writes: NULL keys, blanks, duplicates, re-runs."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.errors import PySparkException
@@ -18,6 +19,7 @@ from millrace.operators.merge import (
     merge_update_subset,
     merge_upsert,
 )
+from millrace.session import stage
 
 T1, T2, T3 = (dt.datetime(2024, 1, d) for d in (1, 2, 3))
 
@@ -197,3 +199,21 @@ def test_journal_segments_with_different_columns(frame, rows):
         (1, '{"PAYLOAD__A":5}', T2),
         (2, '{"PAYLOAD__B":"v"}', T3),
     ]
+
+
+def test_staged_frames_leave_no_shuffle_files(spark):
+    def files():
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in found.split("\n") if "/shuffle_" in f}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    unset = spark.conf.get(key)
+    before = files()
+    frame = spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count()
+    staged = stage(frame, "counted")
+    until = time.time() + 5  # removed beside the driver's work
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert staged.count() == frame.count() == stage(frame, "again").count() == 100
+    assert spark.conf.get(key) == unset
