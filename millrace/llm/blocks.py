@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import one, utf8
+from millrace.llm.common import one, release, utf8
 from millrace.session import stage
 
 BLOCK_BYTES = 4 << 20
@@ -30,6 +30,7 @@ def pack_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, text_col: str =
     """(block, n_bytes, packed) of all rows with all their columns; ``text_col`` has no NULL."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         number = TaskContext.get().partitionId() * _IN_TASK
         parts, size = [], 0
 

@@ -38,6 +38,17 @@ def of_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(columns.T).view(">u8").ravel().astype(np.uint64)
 
 
+def _joined(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows, and where each row's end."""
+    rows = column.to_pylist()
+    ends = np.cumsum([int.from_bytes(r[:8], "little") // 8 for r in rows])
+    out, a = np.empty(ends[-1], np.uint64), 0
+    for row, b in zip(rows, ends):
+        out[a:b] = of_planes(row)
+        a = b
+    return out, ends
+
+
 def n_ranges(text_bytes: int, range_bytes: int = RANGE_BYTES) -> int:
     return text_bytes // range_bytes + 1
 
@@ -78,16 +89,25 @@ def totals(table: pa.Table) -> pa.Table:
     """Answers for one range and kind. One row without block has the range's own sums:
     keys with a count, and all counts."""
     blocks = table.column("block").to_pylist()
-    parts = [of_planes(k) for k in table.column("keys").to_pylist()]
-    counts = np.concatenate([of_planes(c) for c in table.column("counts").to_pylist()])
-    keys, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-    total = np.bincount(inverse, weights=counts, minlength=len(keys)).astype(np.int64)
-    answers = total[inverse]
+    # A task's largest arrays: each goes as soon as it can.
+    keys, ends = _joined(table.column("keys"))
+    by_key = np.argsort(keys, kind="stable")  # rows come sorted
+    keys = keys[by_key]
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    del keys
+    first = np.flatnonzero(new)
+    del new
+    answers, _ = _joined(table.column("counts"))
+    answers = answers[by_key]
+    total = np.add.reduceat(answers, first)
+    answers[by_key] = np.repeat(total, np.diff(first, append=len(answers)))
+    del by_key, first
     at, kind = table.column("range")[0].as_py(), table.column("kind")[0].as_py()
     rows, a = [], 0
-    for block, part in zip(blocks, parts):
-        rows.append({"block": block, "range": at, "kind": kind, "totals": planes(answers[a : a + len(part)])})
-        a += len(part)
+    for block, b in zip(blocks, ends):
+        rows.append({"block": block, "range": at, "kind": kind, "totals": planes(answers[a:b])})
+        a = b
     rows.append({
         "block": None, "range": at, "kind": kind, "totals": None,
         "n_keys": int((total > 0).sum()), "n_all": int(total.sum()),

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import BLOCK_BYTES, pack_blocks, text_bytes, unpacked
-from millrace.llm.common import chain, mix, one, raw, texts, utf8, word_hashes
+from millrace.llm.common import chain, mix, one, raw, release, texts, utf8, word_hashes
 from millrace.llm.components import connected_components
 from millrace.llm.counts import REQUEST_ARROW, REQUESTS, TOTALS, answered, as_table, n_ranges, requests, totals
 from millrace.session import stage
@@ -90,6 +90,7 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int, block_bytes: int = BLO
                 yield from as_table(rows, REQUEST_ARROW).to_batches()
 
     def order(block: pa.Table, answers: pa.Table) -> pa.Table:
+        release()
         [(_, table)] = unpacked(block)
         sets = _block_sets(table, n)
         keys, _ = _keys(sets)
@@ -148,6 +149,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     """The pairs whose full sets link."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             keep = []
             for x, y in zip(one(batch.column("x")).to_pylist(), one(batch.column("y")).to_pylist()):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import texts
+from millrace.llm.common import release, texts
 from millrace.llm.tokens import crc, encoded
 from millrace.session import stage
 
@@ -125,6 +125,7 @@ def pack(
     shards = int(tokens) // shard_tokens + 1
 
     def place(table: pa.Table) -> pa.Table:
+        release()
         shard = table.column("shard")[0].as_py()
         length = table.column("length").to_numpy()
         order = np.lexsort((table.column("ids_crc32").to_numpy(), table.column("start").to_numpy(), -length))

@@ -22,11 +22,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from millrace.llm.common import one
+from millrace.llm.common import KEPT, one
 
 END_ID = 2
 CACHE_PARTS = 1_000_000  # parts kept by a worker; beyond that only the short ones stay
-_VOCABULARIES: dict[str, PartEncoder] = {}
 # White space by which Arrow's split cuts is fixed: ``[\x20\x09-\x0D]``; the
 # pre-tokenizer drops all of it.
 _LONG = 200  # bytes; longer parts are encoded but not kept
@@ -139,10 +138,10 @@ def _values(array: pa.Array, cuts: np.ndarray | None = None) -> list[bytes]:
 
 
 def encoder(path: str) -> PartEncoder:
-    """The worker's encoder for a vocabulary file."""
-    if path not in _VOCABULARIES:
-        _VOCABULARIES[path] = PartEncoder(path)
-    return _VOCABULARIES[path]
+    """The worker's encoder for a vocabulary file, kept until the worker gets tasks of another step."""
+    if path not in KEPT:
+        KEPT[path] = PartEncoder(path)
+    return KEPT[path]
 
 
 def encoded(path: str, texts_column) -> Iterator[bytes]:
